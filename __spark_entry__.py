@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from lotline.functions import crs, display, geometry as G, text as T  # noqa: E402
 from lotline.functions import jsonfields as J  # noqa: E402
 from lotline.operators import batches, quality  # noqa: E402
+from lotline.operators.computed import computed_once  # noqa: E402
 from lotline.operators.distance import pair_distance  # noqa: E402
 from lotline.operators.overlay import with_touches, with_union, with_union_area  # noqa: E402
 from lotline.operators.within import pairs_within  # noqa: E402
@@ -236,12 +237,12 @@ def q_pair_key(spark, sf_dir):
 
 
 def q_json_props(spark, sf_dir):
-    props = F.parse_json("props")
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").withColumn("record", F.parse_json("props"))
+    return J.with_fields(events, "record", ["k", "absent"]).select(
         "event_id",
-        J.scalar_text(props, "k").alias("k_text"),
-        J.number(props, "k").alias("k_number"),
-        J.scalar_text(props, "absent").alias("absent"),
+        J.scalar_text("k").alias("k_text"),
+        J.number(F.col("record"), "k").alias("k_number"),
+        J.scalar_text("absent").alias("absent"),
     )
 
 
@@ -254,11 +255,12 @@ def q_json_falsy(spark, sf_dir):
                  ELSE CONCAT('{"v":"', event_type, '","a":1}') END"""
         )
     )
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").withColumn("record", record)
+    return J.with_fields(events, "record", ["v"]).select(
         "event_id",
-        J.truthy_text(record, "v").alias("truthy"),
-        J.scalar_text(record, "v").alias("text"),
-        J.sorted_json(record).alias("sorted"),
+        J.truthy_text("v").alias("truthy"),
+        J.scalar_text("v").alias("text"),
+        J.sorted_json(F.col("record")).alias("sorted"),
     )
 
 
@@ -282,16 +284,15 @@ SPACE_SQL = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
 
 def customer_features(spark, sf_dir):
     """GeoJSON features as the scan gives them, made from customer rows."""
-    return table(spark, sf_dir, "customer").select(
+    made = table(spark, sf_dir, "customer").select(
         F.expr("CONCAT('properties-', c_custkey % 3, '.json')").alias("source_file"),
         F.expr("CASE WHEN c_custkey % 2 = 0 THEN 'EPSG:4326' ELSE 'EPSG:2272' END").alias(
             "source_srid"
         ),
         F.col("c_custkey").cast("int").alias("feature_pos"),
         F.expr("CASE WHEN c_custkey % 10 > 0 THEN CAST(c_custkey AS STRING) END").alias("id"),
-        F.parse_json(
-            F.expr(
-                """CONCAT('{', CASE c_custkey % 4 WHEN 0 THEN '"parcel_id":"",' WHEN 1 THEN ''
+        F.expr(
+            """CONCAT('{', CASE c_custkey % 4 WHEN 0 THEN '"parcel_id":"",' WHEN 1 THEN ''
                                  ELSE CONCAT('"parcel_id":', c_custkey, ',') END,
                           CASE WHEN c_custkey % 3 > 0 THEN CONCAT('"objectid":"X', c_custkey, '",')
                                ELSE '' END,
@@ -301,14 +302,18 @@ def customer_features(spark, sf_dir):
                           '"owner1":"', REPLACE(c_name, '#', ' . '), '","owner2":',
                           CASE c_custkey % 5 WHEN 0 THEN 'false' WHEN 1 THEN '0' WHEN 2 THEN 'null'
                                ELSE CONCAT('"', c_mktsegment, ', inc."') END, '}')"""
-            )
-        ).alias("properties"),
+        ).alias("document"),
         F.expr(
             """CASE c_custkey % 6 WHEN 0 THEN '{}' WHEN 1 THEN '{"type":"Point","coordinates":[1,2]}'
                ELSE CONCAT('{"type":"Polygon","coordinates":[[[', c_custkey, ',1],[', c_custkey + 2,
                            ',1],[', c_custkey + 2, ',4],[', c_custkey, ',1]]]}') END"""
         ).alias("geometry"),
     )
+    return computed_once(
+        made,
+        {"properties": F.parse_json("document")},
+        keep=["source_file", "source_srid", "feature_pos", "id", "geometry"],
+    )
 
 
 def q_raw_parcels(spark, sf_dir):
@@ -385,10 +390,13 @@ def event_records(spark, sf_dir):
         F.expr("CASE WHEN event_id % 2 = 0 THEN value END").alias("market_value"),
         F.col("value").cast("string").alias("total_livable_area"),
     )
-    return events.select(
+    named = events.select(
         F.concat(F.lit("batch-"), "event_type", F.lit(".json")).alias("file_name"),
         F.col("event_id").cast("int").alias("row_pos"),
-        F.parse_json(F.to_json(record)).alias("record"),
+        record.alias("fields"),
+    )
+    return computed_once(
+        named, {"record": F.parse_json(F.to_json("fields"))}, keep=["file_name", "row_pos"]
     )
 
 

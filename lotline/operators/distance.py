@@ -46,31 +46,68 @@ def _edge_gap2() -> str:
     return f"CASE WHEN holds OR ({across_a} AND {across_b}) THEN 0D ELSE least({apart}) END"
 
 
+def _reach2(within: float | None) -> str:
+    """Squared bound on the distance of a pair, from the envelopes alone.
+
+    A shape meets all four sides of its envelope. So where the envelopes are apart along one axis,
+    the shapes are no farther than that gap and the full spread along the other axis.
+    """
+
+    def bound(along: str, across: str) -> str:
+        gap = f"greatest({along}min_a - {along}max_b, {along}min_b - {along}max_a)"
+        spread = f"greatest({across}max_a - {across}min_b, {across}max_b - {across}min_a)"
+        return f"CASE WHEN {gap} > 0 THEN {gap} * {gap} + {spread} * {spread} END"
+
+    limit = "double('infinity')" if within is None else f"{float(within) ** 2!r}D"
+    return f"least({bound('x', 'y')}, {bound('y', 'x')}, {limit}) * {SLACK!r}D"
+
+
+def _gap(axis: str, low: str, high: str) -> str:
+    """Gap along an axis of edge a and the span from ``low`` to ``high``."""
+    one, two = f"a{axis}1", f"a{axis}2"
+    return f"greatest(0D, least({one}, {two}) - {high}, {low} - greatest({one}, {two}))"
+
+
+def _squared(dx: str, dy: str) -> str:
+    return f"{dx} * {dx} + {dy} * {dy}"
+
+
 def pair_distance(
     pairs: DataFrame, keys: list[str], within: float | None = None, name: str = "pair_distance"
 ) -> DataFrame:
     """Minimum distance of the shapes a and b for each key, optionally only up to ``within``.
 
     ``pairs`` has the shape columns of both sides, suffixed _a and _b. Both edge lists are
-    exploded and the minimum taken per key. The rows of one pair come one after the other, so the
-    map-side minimum keeps one row per pair. Where ``pairs`` is already partitioned on some of the
-    keys, as after the grid join, the minimum needs no shuffle at all. A shape that holds a part
-    of the other has distance zero whatever the edges say.
+    exploded, pairs of edges too far apart to matter dropped, and the minimum taken per key. The
+    rows of one pair come one after the other, so the map-side minimum keeps one row per pair.
+    Where ``pairs`` is already partitioned on some of the keys, as after the grid join, the minimum
+    needs no shuffle at all. A shape that holds a part of the other has distance zero whatever the
+    edges say.
     """
     bounds = ["xmin_b", "ymin_b", "xmax_b", "ymax_b"]
     held = G.contains_part(G.side("{}_a"), G.side("{}_b"))
-    rows = pairs.select(*keys, "edges_a", "edges_b", *bounds, held.alias("holds")).selectExpr(
-        *keys, "holds", "edges_b", *bounds, "inline(edges_a) AS (ax1, ay1, ax2, ay2)"
+    near_b = _squared(_gap("x", "xmin_b", "xmax_b"), _gap("y", "ymin_b", "ymax_b"))
+    near_edge = _squared(
+        _gap("x", "least(bx1, bx2)", "greatest(bx1, bx2)"),
+        _gap("y", "least(by1, by2)", "greatest(by1, by2)"),
     )
-    if within is not None:
-        dx = "greatest(0D, least(ax1, ax2) - xmax_b, xmin_b - greatest(ax1, ax2))"
-        dy = "greatest(0D, least(ay1, ay2) - ymax_b, ymin_b - greatest(ay1, ay2))"
-        rows = rows.where(f"holds OR {dx} <= {within * SLACK}D AND {dy} <= {within * SLACK}D")
     rows = (
-        rows.selectExpr(*keys, "holds", "edges_b", "ax1", "ay1", *_direction("a"))
-        .selectExpr("*", "inline(edges_b) AS (bx1, by1, bx2, by2)")
+        pairs.select(
+            *keys, "edges_a", "edges_b", *bounds, held.alias("holds"),
+            F.expr(_reach2(within)).alias("reach2"),
+        )
+        .selectExpr(
+            *keys, "holds", "reach2", "edges_b", *bounds,
+            "inline(edges_a) AS (ax1, ay1, ax2, ay2)",
+        )
+        .where(f"holds OR {near_b} <= reach2")
+        .selectExpr(
+            *keys, "holds", "reach2", "ax1", "ay1", "ax2", "ay2",
+            "inline(edges_b) AS (bx1, by1, bx2, by2)",
+        )
+        .where(f"holds OR {near_edge} <= reach2")
         .selectExpr(
-            *keys, "holds", "adx", "ady", "alen2", *_direction("b"),
+            *keys, "holds", *_direction("a"), *_direction("b"),
             "bx1 - ax1 AS wx", "by1 - ay1 AS wy",
         )
         .selectExpr(

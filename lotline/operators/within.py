@@ -107,10 +107,11 @@ def near_pairs(
     home = placed.withColumn("level", F.explode(F.array(*[F.lit(n) for n in sorted(in_use)])))
     home = _cells(home.where(F.col("level") >= F.col("own_level")), cell, 0.0)
     cut = _cut_cells(near, home, key, block_rows)
-    n = _blocked(near, cut, key, "near", "home").alias("n")
-    h = _blocked(home, cut, key, "home", "near").alias("h")
+    n = _blocked(near, cut, key, "near", "home")
+    h = _blocked(home, cut, key, "home", "near")
 
-    on = [F.col(f"n.{c}") == F.col(f"h.{c}") for c in (key, *CELL, *BLOCK)]
+    place = [key, *CELL, *BLOCK]
+    on = [F.col(f"n.{c}") == F.col(f"h.{c}") for c in place]
     once = (F.col("h.own_level") < F.col("n.own_level")) | (
         (F.col("h.own_level") == F.col("n.own_level")) & (F.col("n.id") < F.col("h.id"))
     )
@@ -118,9 +119,12 @@ def near_pairs(
         F.col("n.cy") == F.greatest("n.y_low", "h.y_low")
     )
     close = G.envelope_gap2(G.side("n.{}"), G.side("h.{}")) <= F.lit(distance**2 * SLACK)
-    # A merge join whatever the estimates say: file sizes know nothing of the copies made above, and
-    # the cells must stay spread over the cluster for the work on their pairs.
-    met = n.join(h.hint("merge"), on, "inner").where(once & lowest & close)
+    # A merge join over all shuffle partitions, whatever the estimates say: the rows are few bytes
+    # but much work, so neither a broadcast nor merged partitions would spread it.
+    partitions = int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n.repartition(partitions, *place).alias("n")
+    h = h.repartition(partitions, *place).hint("merge").alias("h")
+    met = n.join(h, on, "inner").where(once & lowest & close)
 
     in_order = F.col("n.id") < F.col("h.id")
 
