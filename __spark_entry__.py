@@ -448,6 +448,12 @@ def q_membership(spark, sf_dir):
     return C.membership(rows(spark, sf_dir))
 
 
+def q_single_candidate(spark, sf_dir):
+    """All members of the candidate of parcel 0."""
+    chosen = C.hyphen_candidates(residential(spark, sf_dir), STAMP)
+    return export.of_candidate(C.membership(chosen), "HYPHEN_cfcd208495d565ef66e7dff9f98764da")
+
+
 def q_shortlist(spark, sf_dir):
     chosen = C.shortlist(rows(spark, sf_dir))
     return chosen.select(*_plain(chosen).columns, *TOTALS.split(", ")).withColumn(
@@ -503,6 +509,10 @@ def q_pair_distance(spark, sf_dir):
     return found.select("k", F.round("pair_distance", 6).alias("pair_distance"))
 
 
+def q_pair_within(spark, sf_dir):
+    return q_pair_distance(spark, sf_dir).select("k", (F.col("pair_distance") <= 300).alias("near"))
+
+
 def meeting(spark, sf_dir):
     """Same-owner pairs of closer boxes with distance zero: touching or overlapping."""
     parcels = residential(spark, sf_dir, 25.0)
@@ -879,6 +889,8 @@ def oracle_sql() -> dict[str, str]:
         "candidates_close": BOXES
         + f"SELECT {PLAIN_SQL} FROM cand WHERE candidate_type = 'close_same_owner'",
         "membership": BOXES + "SELECT * FROM members",
+        "single_candidate": BOXES
+        + "SELECT * FROM members WHERE candidate_id = 'HYPHEN_' || md5('0')",
         "shortlist": BOXES + f"SELECT {PLAIN_SQL}, {TOTALS} FROM short",
         "shortlist_view": BOXES + f"SELECT {PLAIN_SQL}, {TOTALS} FROM short",
         "candidate_union": BOXES + """
@@ -895,6 +907,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT a.k, round(sqrt(pow(greatest(0, abs(a.x0 - b.x0) - 50), 2)
                         + pow(greatest(0, abs(a.y0 - b.y0) - 50), 2)), 6) AS pair_distance
             FROM boxes a JOIN boxes b ON b.k = a.k + 1""",
+        "pair_within": TIGHT_BOXES + """
+            SELECT a.k, sqrt(pow(greatest(0, abs(a.x0 - b.x0) - 50), 2)
+                        + pow(greatest(0, abs(a.y0 - b.y0) - 50), 2)) <= 300 AS near
+            FROM boxes a JOIN boxes b ON b.k = a.k + 1""",
         "touches": meet + """
             SELECT id_a, id_b, NOT (abs(xa - xb) < 50 AND abs(ya - yb) < 50) AS touches FROM meet""",
         "union_area": meet + """
