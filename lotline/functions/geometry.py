@@ -89,47 +89,66 @@ def ring_edges(ring: Column) -> Column:
     return zipped.cast(f"array<{EDGE}>")
 
 
-def edges(geom: Column) -> Column:
-    """All boundary edges, ring by ring."""
-    return F.flatten(
-        F.flatten(F.transform(geom["parts"], lambda part: F.transform(part, ring_edges)))
-    )
-
-
-def anchors(geom: Column) -> Column:
-    """One boundary vertex of each part."""
-    return F.array_compact(F.transform(geom["parts"], lambda part: F.get(F.get(part, 0), 0)))
-
-
 SHAPE = ["edges", "anchors", "xmin", "ymin", "xmax", "ymax"]
 
+# Consecutive vertices of every ring, as EDGE.
+_EDGES = f"""flatten(flatten(transform({{geom}}.parts, part -> transform(part, ring ->
+  CAST(arrays_zip(
+    slice(ring.x, 1, greatest(size(ring) - 1, 0)), slice(ring.y, 1, greatest(size(ring) - 1, 0)),
+    slice(ring.x, 2, greatest(size(ring) - 1, 0)), slice(ring.y, 2, greatest(size(ring) - 1, 0))
+  ) AS array<{EDGE}>)))))"""
+# One boundary vertex of each part.
+_ANCHORS = "array_compact(transform({geom}.parts, part -> get(get(part, 0), 0)))"
+_BOUND = "array_{end}(flatten(flatten({geom}.parts)).{axis})"
+
 
 def with_shape(df: DataFrame, geom: str) -> DataFrame:
     """Add what distance tests need as plain columns: edges, anchors and the four bounds.
 
     Plain columns, not one struct: Catalyst would copy a struct's expressions to every use.
     """
-    bounds = envelope(F.col(geom))
-    return df.withColumns(
-        {
-            "edges": edges(F.col(geom)),
-            "anchors": anchors(F.col(geom)),
-            **{name: bounds[name] for name in ("xmin", "ymin", "xmax", "ymax")},
-        }
+    bounds = [
+        f"{_BOUND.format(end=end, geom=geom, axis=axis)} AS {axis}{end}"
+        for axis in ("x", "y")
+        for end in ("min", "max")
+    ]
+    return df.selectExpr(
+        "*", f"{_EDGES.format(geom=geom)} AS edges", f"{_ANCHORS.format(geom=geom)} AS anchors",
+        *bounds,
     )
 
 
-def side(pattern: str) -> dict[str, Column]:
-    """The shape columns of one side of a pair, e.g. side("{}_a")."""
-    return {name: F.col(pattern.format(name)) for name in SHAPE}
+def envelope_gap2(a: str, b: str) -> str:
+    """Squared gap of two envelopes, zero when they overlap; names as in "a_{}"."""
+
+
+    def beyond(one: str, two: str, axis: str) -> str:
+        return f"{one.format(axis + 'min')} - {two.format(axis + 'max')}"
 
+    gaps = [f"greatest(0D, {beyond(a, b, axis)}, {beyond(b, a, axis)})" for axis in ("x", "y")]
+    return " + ".join(f"{gap} * {gap}" for gap in gaps)
 
-def envelope_gap2(a, b) -> Column:
-    """Squared gap of two envelopes (anything indexed by xmin...); zero when they overlap."""
-    zero = F.lit(0.0)
-    dx = F.greatest(zero, a["xmin"] - b["xmax"], b["xmin"] - a["xmax"])
-    dy = F.greatest(zero, a["ymin"] - b["ymax"], b["ymin"] - a["ymax"])
-    return dx * dx + dy * dy
+
+def holds_part(a: str, b: str) -> str:
+    """Does one shape hold a part of the other? Evaluated only where the envelopes overlap.
+
+    Even-odd test of one vertex of each part over all rings, so holes need nothing extra.
+    """
+
+    def within(inner: str, outer: str) -> str:
+        crosses = (
+            "((e.y1 > p.y) <> (e.y2 > p.y)) AND "
+            "(((p.x - e.x1) * (e.y2 - e.y1) < (p.y - e.y1) * (e.x2 - e.x1)) = (e.y2 > e.y1))"
+        )
+        odd = f"aggregate({outer.format('edges')}, false, (odd, e) -> odd <> ({crosses}))"
+        return f"exists({inner.format('anchors')}, p -> {odd})"
+
+    overlap = " AND ".join(
+        f"{one.format(axis + 'min')} <= {two.format(axis + 'max')}"
+        for axis in ("x", "y")
+        for one, two in ((a, b), (b, a))
+    )
+    return f"CASE WHEN {overlap} THEN {within(a, b)} OR {within(b, a)} ELSE false END"
 
 
 def ray_crosses(px: Column, py: Column, e: Column) -> Column:
@@ -144,10 +163,3 @@ def inside(px: Column, py: Column, boundary: Column) -> Column:
     return F.aggregate(
         boundary, F.lit(False), lambda odd, e: odd != ray_crosses(px, py, e)
     )
-
-
-def contains_part(a, b) -> Column:
-    """Does one shape hold a part of the other? Evaluated only where the envelopes overlap."""
-    a_in_b = F.exists(a["anchors"], lambda p: inside(p["x"], p["y"], b["edges"]))
-    b_in_a = F.exists(b["anchors"], lambda p: inside(p["x"], p["y"], a["edges"]))
-    return F.when(envelope_gap2(a, b) == 0, a_in_b | b_in_a).otherwise(F.lit(False))

@@ -85,16 +85,15 @@ def pair_distance(
     edges say.
     """
     bounds = ["xmin_b", "ymin_b", "xmax_b", "ymax_b"]
-    held = G.contains_part(G.side("{}_a"), G.side("{}_b"))
     near_b = _squared(_gap("x", "xmin_b", "xmax_b"), _gap("y", "ymin_b", "ymax_b"))
     near_edge = _squared(
         _gap("x", "least(bx1, bx2)", "greatest(bx1, bx2)"),
         _gap("y", "least(by1, by2)", "greatest(by1, by2)"),
     )
     rows = (
-        pairs.select(
-            *keys, "edges_a", "edges_b", *bounds, held.alias("holds"),
-            F.expr(_reach2(within)).alias("reach2"),
+        pairs.selectExpr(
+            *keys, "edges_a", "edges_b", *bounds,
+            f"{G.holds_part('{}_a', '{}_b')} AS holds", f"{_reach2(within)} AS reach2",
         )
         .selectExpr(
             *keys, "holds", "reach2", "edges_b", *bounds,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.functions import geometry as G
@@ -17,12 +19,9 @@ MAX_CUT_CELLS = 200_000
 CELL = ["level", "cx", "cy"]
 BLOCK = ["block_near", "block_home"]
 
-
-def _grid_level(cell: float) -> Column:
-    """Smallest level whose cells are at least as wide as the envelope."""
-    extent = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
-    steps = F.ceil(F.log2(F.greatest(extent / F.lit(cell), F.lit(1.0))))
-    return steps.cast("int")
+# Smallest level whose cells are at least as wide as the envelope.
+_LEVEL = """CAST(ceil(log2(greatest(
+    greatest(xmax - xmin, ymax - ymin) / {cell!r}D, 1D))) AS INT)"""
 
 
 def _cells(df: DataFrame, cell: float, margin: float) -> DataFrame:
@@ -30,54 +29,48 @@ def _cells(df: DataFrame, cell: float, margin: float) -> DataFrame:
 
     ``x_low`` and ``y_low`` keep the lowest of those cells.
     """
-    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("level"))
-    grow = F.lit(margin)
 
-    def index(edge: Column) -> Column:
-        return F.floor(edge / size).cast("bigint")
+    def index(edge: str) -> str:
+        return f"CAST(floor(({edge}) / ({cell!r}D * power(2D, level))) AS BIGINT)"
 
-    return (
-        df.withColumn("x_low", index(F.col("xmin") - grow))
-        .withColumn("y_low", index(F.col("ymin") - grow))
-        .withColumn("cx", F.explode(F.sequence("x_low", index(F.col("xmax") + grow))))
-        .withColumn("cy", F.explode(F.sequence("y_low", index(F.col("ymax") + grow))))
-    )
+    low = [f"{index(f'{axis}min - {margin!r}D')} AS {axis}_low" for axis in ("x", "y")]
+    cells = df.selectExpr("*", *low)
+    for axis in ("x", "y"):
+        last = index(f"{axis}max + {margin!r}D")
+        cells = cells.selectExpr("*", f"explode(sequence({axis}_low, {last})) AS c{axis}")
+    return cells
 
 
-def _cut_cells(near: DataFrame, home: DataFrame, key: str, block_rows: int) -> DataFrame:
-    """Cells with too many rows for one task, with the number of blocks for either side.
-
-    The limit grows with the number of rows, so by counting no more than MAX_CUT_CELLS cells
-    can pass it: that bounds the broadcast.
-    """
-    place = [key, *CELL]
-    sides = near.select(*place, F.lit(1).alias("near"), F.lit(0).alias("home")).unionByName(
-        home.select(*place, F.lit(0).alias("near"), F.lit(1).alias("home"))
+def _cut_cells(
+    near: DataFrame, home: DataFrame, place: list[str], block_rows: int, limit: int
+) -> DataFrame:
+    """Cells with more than ``limit`` rows on a side, with the number of blocks for either side."""
+    sides = near.selectExpr(*place, "1 AS near", "0 AS home").unionByName(
+        home.selectExpr(*place, "0 AS near", "1 AS home")
     )
     sizes = sides.groupBy(*place).agg(F.sum("near").alias("near"), F.sum("home").alias("home"))
-    total = sizes.agg(F.coalesce(F.sum(F.col("near") + F.col("home")), F.lit(0))).scalar()
-    limit = F.greatest(F.lit(block_rows), total / F.lit(MAX_CUT_CELLS))
-
-    def blocks(side: str) -> Column:
-        return F.ceil(F.col(side) / F.lit(block_rows)).cast("int")
-
-    return sizes.where(F.col("near") + F.col("home") > limit).select(
-        *place, blocks("near").alias("near_blocks"), blocks("home").alias("home_blocks")
+    return sizes.where(f"near > {limit} OR home > {limit}").selectExpr(
+        *place,
+        *[
+            f"CAST(greatest(1, ceil({side} / {block_rows})) AS INT) AS {side}_blocks"
+            for side in ("near", "home")
+        ],
     )
 
 
-def _blocked(side: DataFrame, cut: DataFrame, key: str, own: str, other: str) -> DataFrame:
+def _blocked(side: DataFrame, cut: DataFrame, place: list[str], own: str, other: str) -> DataFrame:
     """Give each row its own block and a copy for every block of the other side."""
+    return side.join(F.broadcast(cut), place, "left").selectExpr(
+        *side.columns,
+        f"CAST(pmod(xxhash64(id), coalesce({own}_blocks, 1)) AS INT) AS block_{own}",
+        f"explode(sequence(0, coalesce({other}_blocks, 1) - 1)) AS block_{other}",
+    )
 
-    def count(name: str) -> Column:
-        return F.greatest(F.coalesce(F.col(f"{name}_blocks"), F.lit(1)), F.lit(1))
 
-    return (
-        side.join(F.broadcast(cut), [key, *CELL], "left")
-        .withColumn(f"block_{own}", F.pmod(F.xxhash64("id"), count(own)).cast("int"))
-        .withColumn(f"block_{other}", F.explode(F.sequence(F.lit(0), count(other) - 1)))
-        .drop("near_blocks", "home_blocks")
-    )
+def _join_partitions(spark: SparkSession, rows: int) -> int:
+    """All shuffle partitions, or fewer when there are only a few hundred rows for each."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(spark.sparkContext.defaultParallelism, rows // 500))
 
 
 def near_pairs(
@@ -96,48 +89,47 @@ def near_pairs(
     that shares several cells counts in the lowest one, so no distinct is needed.
 
     The shapes are staged first, as five reads follow: the levels in use, the sizes of the cells
-    (both sides) and the two sides of the join. The result stays partitioned by key, cell and block.
+    (both sides) and the two sides of the join. The result stays partitioned by key and cell, and
+    by block where cells are cut.
     """
-    cell = 2.0 * distance if cell is None else cell
-    placed = staged(shapes.withColumn("own_level", _grid_level(cell)), "shapes")
+    cell = float(2.0 * distance if cell is None else cell)
+    placed = staged(shapes.selectExpr("*", f"{_LEVEL.format(cell=cell)} AS own_level"), "shapes")
     # Levels are logarithms of doubles: a few at most, whatever the data.
-    in_use = [row[0] for row in placed.select("own_level").distinct().collect()] or [0]
-
-    near = _cells(placed.withColumn("level", F.col("own_level")), cell, distance * SLACK)
-    home = placed.withColumn("level", F.explode(F.array(*[F.lit(n) for n in sorted(in_use)])))
-    home = _cells(home.where(F.col("level") >= F.col("own_level")), cell, 0.0)
-    cut = _cut_cells(near, home, key, block_rows)
-    n = _blocked(near, cut, key, "near", "home")
-    h = _blocked(home, cut, key, "home", "near")
-
-    place = [key, *CELL, *BLOCK]
-    on = [F.col(f"n.{c}") == F.col(f"h.{c}") for c in place]
-    once = (F.col("h.own_level") < F.col("n.own_level")) | (
-        (F.col("h.own_level") == F.col("n.own_level")) & (F.col("n.id") < F.col("h.id"))
-    )
-    lowest = (F.col("n.cx") == F.greatest("n.x_low", "h.x_low")) & (
-        F.col("n.cy") == F.greatest("n.y_low", "h.y_low")
-    )
-    close = G.envelope_gap2(G.side("n.{}"), G.side("h.{}")) <= F.lit(distance**2 * SLACK)
+    levels = {r["own_level"]: r["count"] for r in placed.groupBy("own_level").count().collect()}
+    total = sum(levels.values())
+
+    near = _cells(placed.selectExpr("*", "own_level AS level"), cell, float(distance * SLACK))
+    listed = ", ".join(str(level) for level in sorted(levels) or [0])
+    home = placed.selectExpr("*", f"explode(array({listed})) AS level").where("level >= own_level")
+    home = _cells(home, cell, 0.0)
+
+    place = [key, *CELL]
+    if total > block_rows:
+        # A shape meets at most this many cells, so the cells beyond the limit, which all hold
+        # more than ``limit`` copies, number fewer than MAX_CUT_CELLS: that bounds the broadcast.
+        copies = math.ceil(2.0 + 2.0 * distance * SLACK / cell) ** 2 + 4 * len(levels)
+        limit = max(block_rows, total * copies // MAX_CUT_CELLS)
+        cut = _cut_cells(near, home, place, block_rows, limit)
+        near = _blocked(near, cut, place, "near", "home")
+        home = _blocked(home, cut, place, "home", "near")
+        place = [*place, *BLOCK]
+
     # A merge join over all shuffle partitions, whatever the estimates say: the rows are few bytes
     # but much work, so neither a broadcast nor merged partitions would spread it.
-    partitions = int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = n.repartition(partitions, *place).alias("n")
-    h = h.repartition(partitions, *place).hint("merge").alias("h")
-    met = n.join(h, on, "inner").where(once & lowest & close)
-
-    in_order = F.col("n.id") < F.col("h.id")
-
-    def member(column: str, first: bool) -> Column:
-        one, two = F.col(f"n.{column}"), F.col(f"h.{column}")
-        return F.when(in_order if first else ~in_order, one).otherwise(two)
-
-    return met.select(
-        *[F.col(f"n.{c}").alias(c) for c in (key, *CELL, *BLOCK)],
-        member("id", True).alias("id_a"),
-        member("id", False).alias("id_b"),
-        *[F.col(f"n.{c}").alias(f"{c}_a") for c in G.SHAPE],
-        *[F.col(f"h.{c}").alias(f"{c}_b") for c in G.SHAPE],
+    partitions = _join_partitions(shapes.sparkSession, total)
+    n = near.repartition(partitions, *place).alias("n")
+    h = home.repartition(partitions, *place).hint("merge").alias("h")
+    same_place = " AND ".join(f"n.{c} = h.{c}" for c in place)
+    once = "(h.own_level < n.own_level OR (h.own_level = n.own_level AND n.id < h.id))"
+    lowest = "n.cx = greatest(n.x_low, h.x_low) AND n.cy = greatest(n.y_low, h.y_low)"
+    close = f"{G.envelope_gap2('n.{}', 'h.{}')} <= {distance**2 * SLACK!r}D"
+    met = n.join(h, F.expr(f"{same_place} AND {once} AND {lowest} AND {close}"), "inner")
+    return met.selectExpr(
+        *[f"n.{c}" for c in place],
+        "CASE WHEN n.id < h.id THEN n.id ELSE h.id END AS id_a",
+        "CASE WHEN n.id < h.id THEN h.id ELSE n.id END AS id_b",
+        *[f"n.{c} AS {c}_a" for c in G.SHAPE],
+        *[f"h.{c} AS {c}_b" for c in G.SHAPE],
     )
 
 
@@ -162,5 +154,6 @@ def pairs_within(
     shapes = G.with_shape(shapes, "geom").drop("geom")
     pairs = near_pairs(shapes, distance, "key", cell, block_rows)
     # Grouping also by the join columns keeps the minimum inside the join's own partitions.
-    found = pair_distance(pairs, ["key", *CELL, *BLOCK, "id_a", "id_b"], within=distance)
+    place = [c for c in pairs.columns if c in ("key", *CELL, *BLOCK)]
+    found = pair_distance(pairs, [*place, "id_a", "id_b"], within=distance)
     return found.select(F.col("key").alias(key), "id_a", "id_b", "pair_distance")
