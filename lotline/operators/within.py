@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +11,8 @@ from lotline.sources.staging import staged
 
 # A cell with more rows than this is cut into blocks of about this size.
 BLOCK_ROWS = 2000
-# At most this many cells can be cut, so their list is small enough to broadcast.
-MAX_CUT_CELLS = 200_000
+# A list of cut cells up to this length is broadcast; a longer one is joined by shuffle.
+MAX_BROADCAST_CELLS = 200_000
 
 CELL = ["level", "cx", "cy"]
 BLOCK = ["block_near", "block_home"]
@@ -42,25 +40,30 @@ def _cells(df: DataFrame, cell: float, margin: float) -> DataFrame:
 
 
 def _cut_cells(
-    near: DataFrame, home: DataFrame, place: list[str], block_rows: int, limit: int
+    near: DataFrame, home: DataFrame, place: list[str], block_rows: int
 ) -> DataFrame:
-    """Cells with more than ``limit`` rows on a side, with the number of blocks for either side."""
+    """Cells with more than ``block_rows`` rows on a side, with the number of blocks of either side."""
     sides = near.selectExpr(*place, "1 AS near", "0 AS home").unionByName(
         home.selectExpr(*place, "0 AS near", "1 AS home")
     )
     sizes = sides.groupBy(*place).agg(F.sum("near").alias("near"), F.sum("home").alias("home"))
-    return sizes.where(f"near > {limit} OR home > {limit}").selectExpr(
+    large = sizes.where(f"near > {block_rows} OR home > {block_rows}").selectExpr(
         *place,
         *[
             f"CAST(greatest(1, ceil({side} / {block_rows})) AS INT) AS {side}_blocks"
             for side in ("near", "home")
         ],
     )
+    return staged(large, "cells")
 
 
-def _blocked(side: DataFrame, cut: DataFrame, place: list[str], own: str, other: str) -> DataFrame:
+def _blocked(
+    side: DataFrame, cut: DataFrame, place: list[str], own: str, other: str, short: bool
+) -> DataFrame:
     """Give each row its own block and a copy for every block of the other side."""
-    return side.join(F.broadcast(cut), place, "left").selectExpr(
+    # In a shuffle join adaptive execution splits the cells that hold very many rows.
+    listed = F.broadcast(cut) if short else cut.hint("merge")
+    return side.join(listed, place, "left").selectExpr(
         *side.columns,
         f"CAST(pmod(xxhash64(id), coalesce({own}_blocks, 1)) AS INT) AS block_{own}",
         f"explode(sequence(0, coalesce({other}_blocks, 1) - 1)) AS block_{other}",
@@ -79,6 +82,7 @@ def near_pairs(
     key: str,
     cell: float | None = None,
     block_rows: int = BLOCK_ROWS,
+    max_broadcast_cells: int = MAX_BROADCAST_CELLS,
 ) -> DataFrame:
     """Unordered same-key pairs whose envelopes are within ``distance``, each exactly once.
 
@@ -88,6 +92,9 @@ def near_pairs(
     listed under its plain envelope on its own and every coarser level in use ("home"). A pair
     that shares several cells counts in the lowest one, so no distinct is needed.
 
+    A cell with very many rows is cut into blocks on both sides, and each block of one side meets
+    each of the other in a group of its own; which cells those are is counted first.
+
     The shapes are staged first, as five reads follow: the levels in use, the sizes of the cells
     (both sides) and the two sides of the join. The result stays partitioned by key and cell, and
     by block where cells are cut.
@@ -104,15 +111,15 @@ def near_pairs(
     home = _cells(home, cell, 0.0)
 
     place = [key, *CELL]
+    # A cell holds each shape once, so only with more shapes than that can one need a cut.
     if total > block_rows:
-        # A shape meets at most this many cells, so the cells beyond the limit, which all hold
-        # more than ``limit`` copies, number fewer than MAX_CUT_CELLS: that bounds the broadcast.
-        copies = math.ceil(2.0 + 2.0 * distance * SLACK / cell) ** 2 + 4 * len(levels)
-        limit = max(block_rows, total * copies // MAX_CUT_CELLS)
-        cut = _cut_cells(near, home, place, block_rows, limit)
-        near = _blocked(near, cut, place, "near", "home")
-        home = _blocked(home, cut, place, "home", "near")
-        place = [*place, *BLOCK]
+        cut = _cut_cells(near, home, place, block_rows)
+        count = cut.count()
+        if count:
+            short = count <= max_broadcast_cells
+            near = _blocked(near, cut, place, "near", "home", short)
+            home = _blocked(home, cut, place, "home", "near", short)
+            place = [*place, *BLOCK]
 
     # A merge join over all shuffle partitions, whatever the estimates say: the rows are few bytes
     # but much work, so neither a broadcast nor merged partitions would spread it.
@@ -141,6 +148,7 @@ def pairs_within(
     geom_column: str = "geom",
     cell: float | None = None,
     block_rows: int = BLOCK_ROWS,
+    max_broadcast_cells: int = MAX_BROADCAST_CELLS,
 ) -> DataFrame:
     """Same-key pairs within ``distance``: key, id_a < id_b (as text), pair_distance.
 
@@ -152,7 +160,7 @@ def pairs_within(
         F.col(geom_column).alias("geom"),
     )
     shapes = G.with_shape(shapes, "geom").drop("geom")
-    pairs = near_pairs(shapes, distance, "key", cell, block_rows)
+    pairs = near_pairs(shapes, distance, "key", cell, block_rows, max_broadcast_cells)
     # Grouping also by the join columns keeps the minimum inside the join's own partitions.
     place = [c for c in pairs.columns if c in ("key", *CELL, *BLOCK)]
     found = pair_distance(pairs, [*place, "id_a", "id_b"], within=distance)

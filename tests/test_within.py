@@ -59,6 +59,8 @@ def test_one_owner_in_small_blocks(spark):
     assert found(pairs_within(df, 300.0, block_rows=3)) == expected
     assert found(pairs_within(df, 300.0, cell=50.0)) == expected
     assert found(pairs_within(df.repartition(7), 300.0, block_rows=10)) == expected
+    by_shuffle = pairs_within(df, 300.0, block_rows=10, max_broadcast_cells=0)
+    assert found(by_shuffle) == expected
 
 
 def test_coincident_parcels(spark):
