@@ -8,12 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own_root: str | None = None
+
+
 def staging_root(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only where it is unset."""
+    global _own_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="lotline-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _own_root = _own_root or tempfile.mkdtemp(prefix="lotline-")
+        root = _own_root
     return root.rstrip("/")
 
 
