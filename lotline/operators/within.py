@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.functions import geometry as G
@@ -22,39 +22,64 @@ _LEVEL = """CAST(ceil(log2(greatest(
     greatest(xmax - xmin, ymax - ymin) / {cell!r}D, 1D))) AS INT)"""
 
 
+def _index(edge: str, cell: float) -> str:
+    return f"CAST(floor(({edge}) / ({cell!r}D * power(2D, level))) AS BIGINT)"
+
+
 def _cells(df: DataFrame, cell: float, margin: float) -> DataFrame:
     """One row per cell of ``level`` that the envelope, grown by ``margin``, meets.
 
     ``x_low`` and ``y_low`` keep the lowest of those cells.
     """
-
-    def index(edge: str) -> str:
-        return f"CAST(floor(({edge}) / ({cell!r}D * power(2D, level))) AS BIGINT)"
-
-    low = [f"{index(f'{axis}min - {margin!r}D')} AS {axis}_low" for axis in ("x", "y")]
+    low = [f"{_index(f'{axis}min - {margin!r}D', cell)} AS {axis}_low" for axis in ("x", "y")]
     cells = df.selectExpr("*", *low)
     for axis in ("x", "y"):
-        last = index(f"{axis}max + {margin!r}D")
+        last = _index(f"{axis}max + {margin!r}D", cell)
         cells = cells.selectExpr("*", f"explode(sequence({axis}_low, {last})) AS c{axis}")
     return cells
 
 
-def _cut_cells(
-    near: DataFrame, home: DataFrame, place: list[str], block_rows: int
-) -> DataFrame:
-    """Cells with more than ``block_rows`` rows on a side, with the number of blocks of either side."""
-    sides = near.selectExpr(*place, "1 AS near", "0 AS home").unionByName(
-        home.selectExpr(*place, "0 AS near", "1 AS home")
+def _meeting_cells(
+    near: DataFrame, home: DataFrame, place: list[str], cell: float
+) -> tuple[DataFrame, int]:
+    """Cells in which two shapes meet, with the rows of both sides; and the rows of all cells.
+
+    A shape is at home also in some of the cells it is near to. Where it is the only one on both
+    sides, no pair can come of the cell.
+    """
+    own_home = " AND ".join(
+        f"c{axis} BETWEEN {_index(f'{axis}min', cell)} AND {_index(f'{axis}max', cell)}"
+        for axis in ("x", "y")
     )
-    sizes = sides.groupBy(*place).agg(F.sum("near").alias("near"), F.sum("home").alias("home"))
-    large = sizes.where(f"near > {block_rows} OR home > {block_rows}").selectExpr(
+    sides = near.selectExpr(
+        *place, "1 AS near", "0 AS home", f"CAST({own_home} AS INT) AS self"
+    ).unionByName(home.selectExpr(*place, "0 AS near", "1 AS home", "0 AS self"))
+    sizes = sides.groupBy(*place).agg(*[F.sum(c).alias(c) for c in ("near", "home", "self")])
+    seen = Observation()
+    counted = sizes.observe(seen, F.sum(F.expr("near + home")).alias("rows"))
+    alone = "near = 1 AND home = 1 AND self = 1"
+    met = staged(counted.where(f"near > 0 AND home > 0 AND NOT ({alone})").drop("self"), "cells")
+    return met, seen.get["rows"] or 0
+
+
+def _meeting_shapes(
+    placed: DataFrame, near: DataFrame, home: DataFrame, met: DataFrame, place: list[str]
+) -> DataFrame:
+    """The shapes that meet another one in some cell. Only ids and cells are shuffled to find them."""
+    copies = near.select("id", *place).unionByName(home.select("id", *place))
+    ids = copies.join(met.select(*place), place, "left_semi").select("id").distinct()
+    return staged(placed.join(ids, "id", "left_semi"), "shapes")
+
+
+def _cut_cells(met: DataFrame, place: list[str], block_rows: int) -> DataFrame:
+    """Cells with more than ``block_rows`` rows on a side, with the number of blocks of either."""
+    return met.where(f"near > {block_rows} OR home > {block_rows}").selectExpr(
         *place,
         *[
             f"CAST(greatest(1, ceil({side} / {block_rows})) AS INT) AS {side}_blocks"
             for side in ("near", "home")
         ],
     )
-    return staged(large, "cells")
 
 
 def _blocked(
@@ -93,7 +118,9 @@ def near_pairs(
     that shares several cells counts in the lowest one, so no distinct is needed.
 
     A cell with very many rows is cut into blocks on both sides, and each block of one side meets
-    each of the other in a group of its own; which cells those are is counted first.
+    each of the other in a group of its own; which cells those are is counted first. The same count
+    tells in which cells two shapes meet at all. Where most copies meet nothing, as with owners of
+    a few scattered parcels, the shapes that do are picked first, by ids alone.
 
     The shapes are staged first, as five reads follow: the levels in use, the sizes of the cells
     (both sides) and the two sides of the join. The result stays partitioned by key and cell, and
@@ -105,18 +132,30 @@ def near_pairs(
     levels = {r["own_level"]: r["count"] for r in placed.groupBy("own_level").count().collect()}
     total = sum(levels.values())
 
-    near = _cells(placed.selectExpr("*", "own_level AS level"), cell, float(distance * SLACK))
     listed = ", ".join(str(level) for level in sorted(levels) or [0])
-    home = placed.selectExpr("*", f"explode(array({listed})) AS level").where("level >= own_level")
-    home = _cells(home, cell, 0.0)
 
+    def sides(parcels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        on_all = parcels.selectExpr("*", f"explode(array({listed})) AS level")
+        return (
+            _cells(parcels.selectExpr("*", "own_level AS level"), cell, float(distance * SLACK)),
+            _cells(on_all.where("level >= own_level"), cell, 0.0),
+        )
+
+    near, home = sides(placed)
     place = [key, *CELL]
     # A cell holds each shape once, so only with more shapes than that can one need a cut.
     if total > block_rows:
-        cut = _cut_cells(near, home, place, block_rows)
-        count = cut.count()
+        met, rows = _meeting_cells(near, home, place, cell)
+        useful, count = met.selectExpr(
+            "coalesce(sum(near + home), 0)",
+            f"count_if(near > {block_rows} OR home > {block_rows})",
+        ).first()
+        if 2 * useful < rows:
+            # Most copies meet nothing: leave their shapes out before the edges are shuffled.
+            near, home = sides(_meeting_shapes(placed, near, home, met, place))
         if count:
             short = count <= max_broadcast_cells
+            cut = _cut_cells(met, place, block_rows)
             near = _blocked(near, cut, place, "near", "home", short)
             home = _blocked(home, cut, place, "home", "near", short)
             place = [*place, *BLOCK]

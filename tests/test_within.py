@@ -63,6 +63,26 @@ def test_one_owner_in_small_blocks(spark):
     assert found(by_shuffle) == expected
 
 
+def test_scattered_owners_are_left_out_first(spark):
+    """Most owners have lone parcels; few pairs meet, some across grid levels."""
+    rng = np.random.default_rng(8)
+    parcels = []
+    for i in range(120):
+        x, y = rng.uniform(0, 200_000, 2)
+        parcels.append((f"a{i}", f"S{i // 2}", geom([star(rng, x, y, 60, 5)])))
+        if i % 8 == 0:
+            near_by = geom([star(rng, x + 300, y, 60, 5)])
+            parcels.append((f"b{i}", f"S{i // 2}", near_by))
+        if i % 15 == 0:
+            long = geom([box(x - 9000, y + 200, 18_000, 20)])
+            parcels.append((f"c{i}", f"S{i // 2}", long))
+    expected = brute(parcels, 500.0)
+    assert len(expected) > 15
+    df = frame(spark, parcels)
+    for block_rows in (1, 20, 1000):
+        assert found(pairs_within(df, 500.0, block_rows=block_rows)) == expected
+
+
 def test_coincident_parcels(spark):
     parcels = [(str(i), "ALL", geom([box(5, 5, 10, 10)])) for i in range(60)]
     pairs = found(pairs_within(frame(spark, parcels), 500.0, block_rows=7))
