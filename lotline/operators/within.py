@@ -59,7 +59,7 @@ def _meeting_cells(
     counted = sizes.observe(seen, F.sum(F.expr("near + home")).alias("rows"))
     alone = "near = 1 AND home = 1 AND self = 1"
     met = staged(counted.where(f"near > 0 AND home > 0 AND NOT ({alone})").drop("self"), "cells")
-    return met, seen.get["rows"] or 0
+    return met, seen.get.get("rows") or 0
 
 
 def _meeting_shapes(
