@@ -26,6 +26,15 @@ from lotline.plans import candidates as C, export, parcels as P  # noqa: E402
 from lotline.sources import assessments as A, geojson  # noqa: E402
 from lotline.sources.staging import staged  # noqa: E402
 
+# The operators for training text are an add-on: without them the other queries still work.
+try:
+    import corpus_pipeline  # noqa: E402
+    from lotline.llm import registry as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in {"corpus_pipeline", "lotline.llm", "lotline.llm.registry"}:
+        raise
+    llm = None
+
 STAMP = "2026-01-01T00:00:00+00:00"
 SIDE = 50.0
 
@@ -785,17 +794,23 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         name[2:]: function
         for name, function in globals().items()
         if name.startswith("q_") and callable(function)
     }
+    if llm:
+        found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     hot = BOXES.replace("'OWNER ' || c_nationkey AS", "CASE WHEN c_custkey % 3 = 0 THEN 'HOT' ELSE 'OWNER ' || c_nationkey END AS")
     meet = TIGHT_BOXES + ", meet AS (SELECT * FROM pairs WHERE d = 0)"
-    return {
+    found = llm.ORACLE_SQL if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        found = found | {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return found | {
         "clean_address": f"""
             SELECT doc_id, trim(regexp_replace(text, '{SPACE_SQL}', ' ', 'g')) AS address,
                    split_part(address, ' ', 1) AS address_number FROM documents""",
