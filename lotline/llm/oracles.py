@@ -10,6 +10,21 @@ def lower(text: str) -> str:
 
 
 SQL = {
+    "op1_warc_round_trip": """
+        WITH p AS (SELECT page_id, url, coalesce(html, '') AS body,
+                          max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper FROM pages),
+        -- SHA-1 as base32: five bits at a time of its 160.
+        d AS (SELECT *, CAST(('0x' || substr(sha1(body), 1, 20)) AS UHUGEINT) AS a,
+                     CAST(('0x' || substr(sha1(body), 21, 20)) AS UHUGEINT) AS b FROM p)
+        SELECT page_id, url, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+               list_reduce(list_transform(generate_series(15, 0, -1), lambda i:
+                 substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((a >> CAST(5 * i AS UHUGEINT)) & 31 AS INTEGER) + 1, 1)), lambda x, y: x || y)
+               || list_reduce(list_transform(generate_series(15, 0, -1), lambda i:
+                 substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((b >> CAST(5 * i AS UHUGEINT)) & 31 AS INTEGER) + 1, 1)), lambda x, y: x || y)
+                 AS payload_digest,
+               CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+        FROM d""",
     "op2_suffix_array_decontamination": f"""
         WITH words_of AS (
           SELECT doc_id, text, regexp_extract_all({lower("coalesce(text, '')")},
