@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.llm import chat, huffman, packing, radix_dedup, rank_merge, suffix_arrays, warc
+from lotline.llm import (
+    chat,
+    factorisation,
+    huffman,
+    packing,
+    radix_dedup,
+    rank_merge,
+    recurrent,
+    suffix_arrays,
+    warc,
+)
 from lotline.llm.common import read
 
 BYTE_BPE, WORD_BPE, BYTE_BPE_IDS = "byte_bpe_50k.json", "word_bpe_49k.json", 50_257
@@ -41,10 +51,23 @@ def op3_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.round_trip(turns.unionByName(hostile))
 
 
+def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
+    machine = factorisation.train(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return factorisation.scored(docs, machine).select(
+        "source_row.doc_id", "held_out", "score", "predicted"
+    )
+
+
 def op5_radix_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.radix_groups(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_bidirectional_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return recurrent.identified(docs, recurrent.train(docs))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return packing.packed_pieces(docs, vocabulary(WORD_BPE))
