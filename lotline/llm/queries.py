@@ -9,6 +9,7 @@ from lotline.llm import (
     chat,
     factorisation,
     huffman,
+    jaccard_rtree,
     packing,
     radix_dedup,
     rank_merge,
@@ -78,6 +79,12 @@ def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(docs, vocabulary(BYTE_BPE), BYTE_BPE_IDS)
 
 
+def op9_rtree_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+    return jaccard_rtree.near_duplicates(numbered).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_rank_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return rank_merge.token_counts(docs, vocabulary(BYTE_BPE))
