@@ -437,7 +437,7 @@ def q_pairs_hot_owner(spark, sf_dir):
         F.col("owner_normalized")
     )
     parcels = residential(spark, sf_dir).withColumn("owner_normalized", hot)
-    found = pairs_within(parcels, 200.0, block_rows=100)
+    found = pairs_within(parcels, 200.0, block_edges=400)
     return found.withColumn("pair_distance", F.round("pair_distance", 6))
 
 
@@ -479,7 +479,8 @@ def q_shortlist_view(spark, sf_dir):
 
 def q_candidate_union(spark, sf_dir):
     """All candidates with the area, parts and bounds of their union geometry."""
-    full = C.candidate_table(rows(spark, sf_dir))
+    parcels = residential(spark, sf_dir)
+    full = C.candidate_table(C.candidate_rows(parcels, STAMP), parcels)
     part_area = F.transform(
         "geom_union.parts",
         lambda part: F.aggregate(
@@ -640,7 +641,8 @@ def q_geojson_emit(spark, sf_dir):
 
 
 def shortlisted_features(spark, sf_dir):
-    return export.features(C.shortlist(rows(spark, sf_dir)))
+    parcels = residential(spark, sf_dir)
+    return export.features(C.shortlist(C.candidate_rows(parcels, STAMP)), parcels)
 
 
 def q_features(spark, sf_dir):

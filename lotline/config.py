@@ -44,7 +44,11 @@ class JobConfig:
     output_dir: str
     refresh: bool = False
     offline: bool = False
+    #: Build also while batches of assessments are missing from the cache.
+    allow_missing: bool = False
     source_layout: str = "collection"
+    #: CRS of sources that name none (EPSG:4326 if unset).
+    source_crs: str | None = None
     touch_tolerance: float = TOUCH_TOLERANCE_FT
     close_distance: float = CLOSE_DISTANCE_FT
     livable_min: float = LIVABLE_MIN_SQFT

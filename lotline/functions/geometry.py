@@ -13,7 +13,7 @@ EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
 
 
 def from_geojson(text: Column) -> Column:
-    """Polygon or MultiPolygon text to a geometry; null for other types and empty coordinates."""
+    """Polygon or MultiPolygon text to a geometry; null for other types and unusable coordinates."""
     outer = F.from_json(text, "type string, coordinates string")
     kind, coordinates = outer["type"], outer["coordinates"]
     one = F.from_json(coordinates, "array<array<array<double>>>")
@@ -26,17 +26,18 @@ def from_geojson(text: Column) -> Column:
     parts = F.transform(
         nested, lambda part: F.transform(part, lambda ring: F.transform(ring, vertex))
     )
+    places = F.flatten(F.flatten(nested))
+    whole = F.forall(places, lambda p: F.get(p, 0).isNotNull() & F.get(p, 1).isNotNull())
     return F.when(
-        F.size(F.flatten(F.flatten(nested))) > 0,
-        F.struct(kind.alias("kind"), parts.alias("parts")),
+        (F.size(places) > 0) & whole, F.struct(kind.alias("kind"), parts.alias("parts"))
     )
 
 
-def is_unsupported(text: Column) -> Column:
-    """True for geometry text that has a type other than Polygon and MultiPolygon."""
-    return F.coalesce(
-        ~F.get_json_object(text, "$.type").isin("Polygon", "MultiPolygon"), F.lit(False)
-    )
+def is_rejected(text: Column) -> Column:
+    """True for geometry text that gives no geometry, unless it is an empty polygon."""
+    polygon = F.get_json_object(text, "$.type").isin("Polygon", "MultiPolygon")
+    empty = polygon & (F.get_json_object(text, "$.coordinates") == "[]")
+    return text.isNotNull() & from_geojson(text).isNull() & ~F.coalesce(empty, F.lit(False))
 
 
 def to_geojson(geom: Column) -> Column:

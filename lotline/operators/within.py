@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotline.functions import geometry as G
 from lotline.operators.distance import SLACK, pair_distance
 from lotline.sources.staging import staged
 
-# A cell with more rows than this is cut into blocks of about this size.
-BLOCK_ROWS = 2000
-# A list of cut cells up to this length is broadcast; a longer one is joined by shuffle.
-MAX_BROADCAST_CELLS = 200_000
+# A side of a cell with more edges than this is cut into blocks of about this many.
+BLOCK_EDGES = 8000
 
 CELL = ["level", "cx", "cy"]
 BLOCK = ["block_near", "block_home"]
@@ -40,131 +38,87 @@ def _cells(df: DataFrame, cell: float, margin: float) -> DataFrame:
 
 
 def _meeting_cells(
-    near: DataFrame, home: DataFrame, place: list[str], cell: float
-) -> tuple[DataFrame, int]:
-    """Cells in which two shapes meet, with the rows of both sides; and the rows of all cells.
+    near: DataFrame, home: DataFrame, place: list[str], cell: float, block_edges: int
+) -> DataFrame:
+    """Cells in which two shapes meet, with the number of blocks of both sides.
 
     A shape is at home also in some of the cells it is near to. Where it is the only one on both
-    sides, no pair can come of the cell.
+    sides, no pair can come of the cell. Blocks are of edges, which is what the work depends on.
     """
     own_home = " AND ".join(
         f"c{axis} BETWEEN {_index(f'{axis}min', cell)} AND {_index(f'{axis}max', cell)}"
         for axis in ("x", "y")
     )
     sides = near.selectExpr(
-        *place, "1 AS near", "0 AS home", f"CAST({own_home} AS INT) AS self"
-    ).unionByName(home.selectExpr(*place, "0 AS near", "1 AS home", "0 AS self"))
-    sizes = sides.groupBy(*place).agg(*[F.sum(c).alias(c) for c in ("near", "home", "self")])
-    seen = Observation()
-    counted = sizes.observe(seen, F.sum(F.expr("near + home")).alias("rows"))
+        *place, "n_edges AS near_edges", "0 AS home_edges", "1 AS near", "0 AS home",
+        f"CAST({own_home} AS INT) AS self",
+    ).unionByName(
+        home.selectExpr(
+            *place, "0 AS near_edges", "n_edges AS home_edges", "0 AS near", "1 AS home", "0 AS self"
+        )
+    )
+    counted = ("near_edges", "home_edges", "near", "home", "self")
+    sizes = sides.groupBy(*place).agg(*[F.sum(c).alias(c) for c in counted])
     alone = "near = 1 AND home = 1 AND self = 1"
-    met = staged(counted.where(f"near > 0 AND home > 0 AND NOT ({alone})").drop("self"), "cells")
-    return met, seen.get.get("rows") or 0
-
-
-def _meeting_shapes(
-    placed: DataFrame, near: DataFrame, home: DataFrame, met: DataFrame, place: list[str]
-) -> DataFrame:
-    """The shapes that meet another one in some cell. Only ids and cells are shuffled to find them."""
-    copies = near.select("id", *place).unionByName(home.select("id", *place))
-    ids = copies.join(met.select(*place), place, "left_semi").select("id").distinct()
-    return staged(placed.join(ids, "id", "left_semi"), "shapes")
-
-
-def _cut_cells(met: DataFrame, place: list[str], block_rows: int) -> DataFrame:
-    """Cells with more than ``block_rows`` rows on a side, with the number of blocks of either."""
-    return met.where(f"near > {block_rows} OR home > {block_rows}").selectExpr(
+    return sizes.where(f"near > 0 AND home > 0 AND NOT ({alone})").selectExpr(
         *place,
         *[
-            f"CAST(greatest(1, ceil({side} / {block_rows})) AS INT) AS {side}_blocks"
+            f"CAST(greatest(1, ceil({side}_edges / {block_edges})) AS INT) AS {side}_blocks"
             for side in ("near", "home")
         ],
     )
 
 
-def _blocked(
-    side: DataFrame, cut: DataFrame, place: list[str], own: str, other: str, short: bool
-) -> DataFrame:
-    """Give each row its own block and a copy for every block of the other side."""
-    # In a shuffle join adaptive execution splits the cells that hold very many rows.
-    listed = F.broadcast(cut) if short else cut.hint("merge")
-    return side.join(listed, place, "left").selectExpr(
-        *side.columns,
-        f"CAST(pmod(xxhash64(id), coalesce({own}_blocks, 1)) AS INT) AS block_{own}",
-        f"explode(sequence(0, coalesce({other}_blocks, 1) - 1)) AS block_{other}",
+def _blocked(side: DataFrame, met: DataFrame, place: list[str], own: str, other: str) -> DataFrame:
+    """The rows of cells where shapes meet, each with its block, for every block of the other side."""
+    kept = [c for c in side.columns if c not in ("n_edges", *G.SHAPE)]
+    return side.join(met, place).selectExpr(
+        *kept,
+        f"CAST(pmod(xxhash64(id), {own}_blocks) AS INT) AS block_{own}",
+        f"explode(sequence(0, {other}_blocks - 1)) AS block_{other}",
     )
 
 
-def _join_partitions(spark: SparkSession, rows: int) -> int:
-    """All shuffle partitions, or fewer when there are only a few hundred rows for each."""
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(most, max(spark.sparkContext.defaultParallelism, rows // 500))
-
-
 def near_pairs(
     shapes: DataFrame,
     distance: float,
     key: str,
     cell: float | None = None,
-    block_rows: int = BLOCK_ROWS,
-    max_broadcast_cells: int = MAX_BROADCAST_CELLS,
+    block_edges: int = BLOCK_EDGES,
 ) -> DataFrame:
     """Unordered same-key pairs whose envelopes are within ``distance``, each exactly once.
 
     ``shapes`` has the key, a unique text ``id`` and the shape columns. Each shape lies on the grid
     level that fits its size, so even a very large one meets few cells. A pair meets on the level
     of its larger member, whose envelope is grown by the distance ("near"); the other side is
-    listed under its plain envelope on its own and every coarser level in use ("home"). A pair
-    that shares several cells counts in the lowest one, so no distinct is needed.
-
-    A cell with very many rows is cut into blocks on both sides, and each block of one side meets
-    each of the other in a group of its own; which cells those are is counted first. The same count
-    tells in which cells two shapes meet at all. Where most copies meet nothing, as with owners of
-    a few scattered parcels, the shapes that do are picked first, by ids alone.
-
-    The shapes are staged first, as five reads follow: the levels in use, the sizes of the cells
-    (both sides) and the two sides of the join. The result stays partitioned by key and cell, and
-    by block where cells are cut.
+    listed under its plain envelope on its own level and every coarser one that its key uses
+    ("home"). A pair that shares several cells counts in the lowest one, so no distinct is needed.
+
+    The copies of a shape in its cells are placed and counted without their edges. Those in cells
+    where nothing else is go; cells with very many edges are cut into blocks on both sides, and
+    each block of one side meets each of the other in a group of its own. Only then are the edges
+    attached. The result stays partitioned by key, cell and block; adaptive execution may split
+    what is uneven still.
     """
     cell = float(2.0 * distance if cell is None else cell)
-    placed = staged(shapes.selectExpr("*", f"{_LEVEL.format(cell=cell)} AS own_level"), "shapes")
-    # Levels are logarithms of doubles: a few at most, whatever the data.
-    levels = {r["own_level"]: r["count"] for r in placed.groupBy("own_level").count().collect()}
-    total = sum(levels.values())
-
-    listed = ", ".join(str(level) for level in sorted(levels) or [0])
-
-    def sides(parcels: DataFrame) -> tuple[DataFrame, DataFrame]:
-        on_all = parcels.selectExpr("*", f"explode(array({listed})) AS level")
-        return (
-            _cells(parcels.selectExpr("*", "own_level AS level"), cell, float(distance * SLACK)),
-            _cells(on_all.where("level >= own_level"), cell, 0.0),
-        )
-
-    near, home = sides(placed)
+    level = _LEVEL.format(cell=cell)
+    placed = staged(
+        shapes.selectExpr("*", f"{level} AS own_level", "size(edges) AS n_edges"), "shapes"
+    )
+    slim = placed.drop("edges", "anchors")
+    used = slim.selectExpr(key, "own_level AS level").distinct()
+    on_all = slim.join(used, key).where("level >= own_level")
+    near = _cells(slim.selectExpr("*", "own_level AS level"), cell, float(distance * SLACK))
+    home = _cells(on_all, cell, 0.0)
     place = [key, *CELL]
-    # A cell holds each shape once, so only with more shapes than that can one need a cut.
-    if total > block_rows:
-        met, rows = _meeting_cells(near, home, place, cell)
-        useful, count = met.selectExpr(
-            "coalesce(sum(near + home), 0)",
-            f"count_if(near > {block_rows} OR home > {block_rows})",
-        ).first()
-        if 2 * useful < rows:
-            # Most copies meet nothing: leave their shapes out before the edges are shuffled.
-            near, home = sides(_meeting_shapes(placed, near, home, met, place))
-        if count:
-            short = count <= max_broadcast_cells
-            cut = _cut_cells(met, place, block_rows)
-            near = _blocked(near, cut, place, "near", "home", short)
-            home = _blocked(home, cut, place, "home", "near", short)
-            place = [*place, *BLOCK]
-
-    # A merge join over all shuffle partitions, whatever the estimates say: the rows are few bytes
-    # but much work, so neither a broadcast nor merged partitions would spread it.
-    partitions = _join_partitions(shapes.sparkSession, total)
-    n = near.repartition(partitions, *place).alias("n")
-    h = home.repartition(partitions, *place).hint("merge").alias("h")
+    met = staged(_meeting_cells(near, home, place, cell, block_edges), "cells")
+    place = [*place, *BLOCK]
+    edges = placed.select("id", *G.SHAPE)
+    near = _blocked(near, met, [key, *CELL], "near", "home").join(edges, "id")
+    home = _blocked(home, met, [key, *CELL], "home", "near").join(edges, "id")
+
+    # A merge join, as the rows are few bytes but much work: a broadcast would not spread it.
+    n, h = near.alias("n"), home.hint("merge").alias("h")
     same_place = " AND ".join(f"n.{c} = h.{c}" for c in place)
     once = "(h.own_level < n.own_level OR (h.own_level = n.own_level AND n.id < h.id))"
     lowest = "n.cx = greatest(n.x_low, h.x_low) AND n.cy = greatest(n.y_low, h.y_low)"
@@ -186,8 +140,7 @@ def pairs_within(
     id_column: str = "parcel_id",
     geom_column: str = "geom",
     cell: float | None = None,
-    block_rows: int = BLOCK_ROWS,
-    max_broadcast_cells: int = MAX_BROADCAST_CELLS,
+    block_edges: int = BLOCK_EDGES,
 ) -> DataFrame:
     """Same-key pairs within ``distance``: key, id_a < id_b (as text), pair_distance.
 
@@ -199,7 +152,7 @@ def pairs_within(
         F.col(geom_column).alias("geom"),
     )
     shapes = G.with_shape(shapes, "geom").drop("geom")
-    pairs = near_pairs(shapes, distance, "key", cell, block_rows, max_broadcast_cells)
+    pairs = near_pairs(shapes, distance, "key", cell, block_edges)
     # Grouping also by the join columns keeps the minimum inside the join's own partitions.
     place = [c for c in pairs.columns if c in ("key", *CELL, *BLOCK)]
     found = pair_distance(pairs, [*place, "id_a", "id_b"], within=distance)

@@ -1,8 +1,9 @@
 """Purchase candidates: a hyphenated address, or two same-owner parcels that touch or are close.
 
 A candidate row carries its one or two members as structs, taken from the residential parcels when
-the pair is found. Membership, shortlist and export then need neither a second pair search nor a
-join.
+the pair is found. Membership and shortlist then need neither a second pair search nor a join. The
+geometry is not among them: a parcel in very many pairs would move it with each. It is joined by
+parcel id where it is shown, for the export to the shortlisted rows only.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from lotline import config
 from lotline.functions import text as T
 from lotline.operators.overlay import with_union
-from lotline.operators.within import BLOCK_ROWS, pairs_within
+from lotline.operators.within import BLOCK_EDGES, pairs_within
 from lotline.schema import CANDIDATE_COLUMNS
 
 # Address and id first: members sort by them.
@@ -27,7 +28,6 @@ MEMBER_FIELDS = [
     "total_area",
     "category_code_description",
     "building_code_description_new",
-    "geom",
 ]
 
 
@@ -76,13 +76,13 @@ def pair_candidates(
     run_stamp: str,
     touch_tolerance: float = config.TOUCH_TOLERANCE_FT,
     close_distance: float = config.CLOSE_DISTANCE_FT,
-    block_rows: int = BLOCK_ROWS,
+    block_edges: int = BLOCK_EDGES,
 ) -> DataFrame:
     """Touching and close same-owner pairs, told apart by one distance.
 
     Shapes that touch have distance zero, so the tolerance test covers them.
     """
-    pairs = pairs_within(residential, close_distance, block_rows=block_rows)
+    pairs = pairs_within(residential, close_distance, block_edges=block_edges)
     rows = with_members(pairs, residential)
     touching = F.col("pair_distance") <= F.lit(touch_tolerance)
     kind = F.when(touching, config.TOUCHING).otherwise(config.CLOSE)
@@ -117,13 +117,16 @@ def candidate_rows(residential: DataFrame, run_stamp: str, **limits) -> DataFram
     )
 
 
-def candidate_table(rows: DataFrame) -> DataFrame:
+def candidate_table(rows: DataFrame, residential: DataFrame) -> DataFrame:
     """The candidate columns, with the union of the members' geometry."""
-    first, second = F.get("members", 0)["geom"], F.get("members", 1)["geom"]
-    joined = with_union(
-        rows.withColumns({"geom_a": first, "geom_b": second}), "min_pair_distance"
+    located = rows.withColumns(
+        {f"id_{s}": F.get("members", i)["parcel_id"] for i, s in enumerate("ab")}
     )
-    union = F.when(F.size("members") == 1, first).otherwise(F.col("geom_union"))
+    for s in "ab":
+        side = residential.select(F.col("parcel_id").alias(f"id_{s}"), F.col("geom").alias(f"geom_{s}"))
+        located = located.join(side, f"id_{s}", "left")
+    joined = with_union(located, "min_pair_distance")
+    union = F.when(F.size("members") == 1, F.col("geom_a")).otherwise(F.col("geom_union"))
     return joined.withColumn("geom_union", union).select(*CANDIDATE_COLUMNS)
 
 

@@ -70,9 +70,11 @@ def test_geojson_there_and_back(spark):
 
 def test_other_geometry_is_null_and_reported(spark):
     texts = ['{"type":"Point","coordinates":[1,2]}', '{"type":"Polygon","coordinates":[]}', None]
+    texts += ['{"type":"Polygon","coordinates":[[[0,0],[1,"x"],[1,1]]]}', '{"type":"Polygon","coordinates":[[[0],[1,0],[1,1]]]}']
+    texts += ['{"coordinates":[[[0,0],[1,0],[1,1]]]}', '{"type":"Polygon"']
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    rows = df.select(G.from_geojson(F.col("t")).alias("g"), G.is_unsupported(F.col("t")).alias("u"))
-    assert [(r.g, r.u) for r in rows.collect()] == [(None, True), (None, False), (None, False)]
+    rows = df.select(G.from_geojson(F.col("t")).alias("g"), G.is_rejected(F.col("t")).alias("u"))
+    assert [(r.g, r.u) for r in rows.collect()] == [(None, True), (None, False), (None, False)] + [(None, True)] * 4
 
 
 def test_envelope(spark):

@@ -56,11 +56,9 @@ def test_one_owner_in_small_blocks(spark):
     parcels = [(i, "ALL", g) for i, _, g in mixed_parcels(80, 1, seed=4)]
     expected = brute(parcels, 300.0)
     df = frame(spark, parcels)
-    assert found(pairs_within(df, 300.0, block_rows=3)) == expected
+    assert found(pairs_within(df, 300.0, block_edges=12)) == expected
     assert found(pairs_within(df, 300.0, cell=50.0)) == expected
-    assert found(pairs_within(df.repartition(7), 300.0, block_rows=10)) == expected
-    by_shuffle = pairs_within(df, 300.0, block_rows=10, max_broadcast_cells=0)
-    assert found(by_shuffle) == expected
+    assert found(pairs_within(df.repartition(7), 300.0, block_edges=40)) == expected
 
 
 def test_scattered_owners_are_left_out_first(spark):
@@ -79,13 +77,13 @@ def test_scattered_owners_are_left_out_first(spark):
     expected = brute(parcels, 500.0)
     assert len(expected) > 15
     df = frame(spark, parcels)
-    for block_rows in (1, 20, 1000):
-        assert found(pairs_within(df, 500.0, block_rows=block_rows)) == expected
+    for block_edges in (1, 80, 4000):
+        assert found(pairs_within(df, 500.0, block_edges=block_edges)) == expected
 
 
 def test_coincident_parcels(spark):
     parcels = [(str(i), "ALL", geom([box(5, 5, 10, 10)])) for i in range(60)]
-    pairs = found(pairs_within(frame(spark, parcels), 500.0, block_rows=7))
+    pairs = found(pairs_within(frame(spark, parcels), 500.0, block_edges=28))
     assert len(pairs) == 60 * 59 // 2
     assert set(pairs.values()) == {0.0}
     assert all(a < b for a, b in pairs)
