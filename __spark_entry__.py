@@ -113,7 +113,7 @@ def _plain(candidates: DataFrame) -> DataFrame:
 
 
 BOX_SQL = """
-WITH boxes AS (
+WITH boxes AS MATERIALIZED (
   SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS parcel_id,
          'OWNER ' || c_nationkey AS owner_normalized,
          CASE WHEN c_custkey % 9 = 0
@@ -129,8 +129,8 @@ WITH boxes AS (
          CAST((c_custkey * 7919) % 41 AS DOUBLE) * {spacing} AS x0,
          CAST((c_custkey * 104729) % 43 AS DOUBLE) * {spacing} AS y0
   FROM customer),
-res AS (SELECT * FROM boxes WHERE upper(trim(zoning)) LIKE 'R%'),
-pairs AS (
+res AS MATERIALIZED (SELECT * FROM boxes WHERE upper(trim(zoning)) LIKE 'R%'),
+pairs AS MATERIALIZED (
   SELECT * FROM (
     SELECT a.owner_normalized, a.parcel_id AS id_a, b.parcel_id AS id_b,
            a.street_address AS address_a, b.street_address AS address_b,
@@ -140,7 +140,7 @@ pairs AS (
     FROM res a JOIN res b
       ON a.owner_normalized = b.owner_normalized AND a.parcel_id < b.parcel_id)
   WHERE d <= 500),
-cand AS (
+cand AS MATERIALIZED (
   SELECT 'HYPHEN_' || md5(parcel_id) AS candidate_id, street_address AS human_id,
          'hyphen_address' AS candidate_type, owner_normalized, 1 AS parcel_count,
          'address_number_contains_hyphen' AS match_reason, CAST(NULL AS DOUBLE) AS d,
@@ -156,7 +156,7 @@ cand AS (
               ELSE 'same_owner_within_500_ft_excluding_touching' END,
          d, id_a, id_b
   FROM pairs),
-members AS (
+members AS MATERIALIZED (
   SELECT candidate_id, parcel_id, CAST(row_number() OVER (
            PARTITION BY candidate_id ORDER BY street_address, parcel_id) AS INTEGER) AS parcel_order,
          street_address, owner_normalized
@@ -166,7 +166,7 @@ members AS (
     UNION ALL
     SELECT c.candidate_id, r.parcel_id, r.street_address, r.owner_normalized
     FROM cand c JOIN res r ON r.parcel_id = c.id_b)),
-short AS (
+short AS MATERIALIZED (
   SELECT c.*, t.* EXCLUDE (candidate_id)
   FROM cand c JOIN (
     SELECT m.candidate_id, sum(r.total_livable_area) AS combined_total_livable_area,
@@ -174,7 +174,7 @@ short AS (
            sum(r.market_value) AS combined_market_value, sum(r.total_area) AS combined_total_area
     FROM members m JOIN res r USING (parcel_id) GROUP BY m.candidate_id
     HAVING sum(r.total_livable_area) BETWEEN 3000 AND 7000) t USING (candidate_id)),
-feats AS (
+feats AS MATERIALIZED (
   SELECT s.candidate_id, s.human_id, s.candidate_type, s.combined_total_livable_area,
          s.combined_market_value, s.combined_total_area, m.parcel_id, m.parcel_order,
          r.street_address AS address, r.owner_normalized AS owner, r.total_livable_area, r.zoning,
@@ -527,19 +527,53 @@ def meeting(spark, sf_dir):
     """Same-owner pairs of closer boxes with distance zero: touching or overlapping."""
     parcels = residential(spark, sf_dir, 25.0)
     pairs = pairs_within(parcels, 1.0, cell=200.0).where(F.col("pair_distance") == 0)
-    return C.with_members(pairs, parcels).select(
-        "id_a",
-        "id_b",
-        "pair_distance",
-        F.col("a.geom").alias("geom_a"),
-        F.col("b.geom").alias("geom_b"),
-    )
+    for s in "ab":
+        side = parcels.select(F.col("parcel_id").alias(f"id_{s}"), F.col("geom").alias(f"geom_{s}"))
+        pairs = pairs.join(side, f"id_{s}")
+    return pairs.select("id_a", "id_b", "pair_distance", "geom_a", "geom_b")
+
+
+def rotated(pairs: DataFrame) -> DataFrame:
+    """Both geometries turned by 0.3 radians, so that no edge lies along an axis."""
+
+    def turned(name: str) -> F.Column:
+        return F.expr(
+            f"""named_struct('kind', {name}.kind, 'parts', transform({name}.parts, part ->
+                  transform(part, ring -> transform(ring, p -> named_struct(
+                    'x', 2.69e6D + p.x * cos(0.3D) - p.y * sin(0.3D),
+                    'y', 2.3e5D + p.x * sin(0.3D) + p.y * cos(0.3D))))))"""
+        )
+
+    return pairs.withColumns({name: turned(name) for name in ("geom_a", "geom_b")})
 
 
 def q_touches(spark, sf_dir):
     return with_touches(meeting(spark, sf_dir), "pair_distance").select("id_a", "id_b", "touches")
 
 
+def q_touches_rotated(spark, sf_dir):
+    pairs = rotated(meeting(spark, sf_dir))
+    return with_touches(pairs, "pair_distance").select("id_a", "id_b", "touches")
+
+
+def q_union_rotated(spark, sf_dir):
+    """Area and parts of the dissolved union of turned boxes."""
+    union = with_union(rotated(meeting(spark, sf_dir)), "pair_distance")
+    part_area = F.transform(
+        "geom_union.parts",
+        lambda part: F.aggregate(
+            G.ring_edges(F.get(part, 0)),
+            F.lit(0.0),
+            lambda acc, e: acc
+            + ((e["x1"] - 2.69e6) * (e["y2"] - 2.3e5) - (e["x2"] - 2.69e6) * (e["y1"] - 2.3e5)) / 2,
+        ),
+    )
+    area = F.aggregate(part_area, F.lit(0.0), lambda acc, a: acc + a)
+    return union.select(
+        "id_a", "id_b", F.round(area, 1).alias("area"), F.size("geom_union.parts").alias("parts"), "union_closed"
+    )
+
+
 def q_union_area(spark, sf_dir):
     joined = with_union_area(meeting(spark, sf_dir))
     return joined.select("id_a", "id_b", F.round("union_area", 3).alias("union_area"))
@@ -930,6 +964,13 @@ def oracle_sql() -> dict[str, str]:
             FROM boxes a JOIN boxes b ON b.k = a.k + 1""",
         "touches": meet + """
             SELECT id_a, id_b, NOT (abs(xa - xb) < 50 AND abs(ya - yb) < 50) AS touches FROM meet""",
+        "touches_rotated": meet + """
+            SELECT id_a, id_b, NOT (abs(xa - xb) < 50 AND abs(ya - yb) < 50) AS touches FROM meet""",
+        "union_rotated": meet + """
+            SELECT id_a, id_b, round(5000 - greatest(0, 50 - abs(xa - xb))
+                     * greatest(0, 50 - abs(ya - yb)), 1) AS area,
+                   CAST(CASE WHEN abs(xa - xb) = 50 AND abs(ya - yb) = 50 THEN 2 ELSE 1 END AS INTEGER) AS parts,
+                   true AS union_closed FROM meet""",
         "union_area": meet + """
             SELECT id_a, id_b, round(5000 - greatest(0, 50 - abs(xa - xb))
                      * greatest(0, 50 - abs(ya - yb)), 3) AS union_area FROM meet""",

@@ -117,8 +117,8 @@ def candidate_rows(residential: DataFrame, run_stamp: str, **limits) -> DataFram
     )
 
 
-def candidate_table(rows: DataFrame, residential: DataFrame) -> DataFrame:
-    """The candidate columns, with the union of the members' geometry."""
+def with_unions(rows: DataFrame, residential: DataFrame) -> DataFrame:
+    """The candidate columns, with the union of the members' geometry, and ``union_closed``."""
     located = rows.withColumns(
         {f"id_{s}": F.get("members", i)["parcel_id"] for i, s in enumerate("ab")}
     )
@@ -127,7 +127,12 @@ def candidate_table(rows: DataFrame, residential: DataFrame) -> DataFrame:
         located = located.join(side, f"id_{s}", "left")
     joined = with_union(located, "min_pair_distance")
     union = F.when(F.size("members") == 1, F.col("geom_a")).otherwise(F.col("geom_union"))
-    return joined.withColumn("geom_union", union).select(*CANDIDATE_COLUMNS)
+    return joined.withColumn("geom_union", union).select(*CANDIDATE_COLUMNS, "union_closed")
+
+
+def candidate_table(rows: DataFrame, residential: DataFrame) -> DataFrame:
+    """The candidate columns, with the union of the members' geometry."""
+    return with_unions(rows, residential).select(*CANDIDATE_COLUMNS)
 
 
 def membership(rows: DataFrame) -> DataFrame:
