@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from lotline import JobConfig  # noqa: E402
 from lotline.functions import crs, display, geometry as G, text as T  # noqa: E402
 from lotline.functions import jsonfields as J  # noqa: E402
 from lotline.operators import batches, quality  # noqa: E402
@@ -22,9 +24,9 @@ from lotline.operators.computed import computed_once  # noqa: E402
 from lotline.operators.distance import pair_distance  # noqa: E402
 from lotline.operators.overlay import with_touches, with_union, with_union_area  # noqa: E402
 from lotline.operators.within import pairs_within  # noqa: E402
-from lotline.plans import candidates as C, export, parcels as P  # noqa: E402
+from lotline.plans import candidates as C, export, job, parcels as P  # noqa: E402
 from lotline.sources import assessments as A, geojson  # noqa: E402
-from lotline.sources.staging import staged  # noqa: E402
+from lotline.sources.staging import staged, staging_root  # noqa: E402
 
 # The operators for training text are an add-on: without them the other queries still work.
 try:
@@ -824,6 +826,119 @@ plan AS (
 """
 
 
+# --- sources: written to the staging folder and read back -----------------------------------------
+
+
+def folder(spark: SparkSession, label: str) -> str:
+    return f"{staging_root(spark)}/lotline/{label}-{uuid.uuid4().hex}"
+
+
+def feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's box as the text of a GeoJSON feature, some without a type."""
+    shape = F.from_json(G.to_geojson(_box()), "type string, coordinates array<array<array<double>>>")
+    properties = F.struct(
+        "parcel_id",
+        F.col("parcel_id").alias("brt_id"),
+        F.col("street_address").alias("address"),
+        F.col("owner_normalized").alias("owner1"),
+    )
+    feature = F.struct(
+        F.when(F.col("k") % 3 > 0, "Feature").alias("type"),
+        F.col("parcel_id").alias("id"),
+        properties.alias("properties"),
+        shape.alias("geometry"),
+    )
+    return box_customers(spark, sf_dir).select("k", F.to_json(feature).alias("feature"))
+
+
+def _scanned(features: DataFrame) -> DataFrame:
+    corner = G.from_geojson(F.col("geometry_raw"))
+    return geojson.parcel_rows(features).select(
+        "source_srid", "feature_pos", "source_feature_id", "opa_account_num", "street_address",
+        F.get(F.get(F.get(corner["parts"], 0), 0), 0)["x"].alias("x"),
+        F.col("source_file").isNotNull().alias("named"),
+    )
+
+
+def q_scan_features(spark, sf_dir):
+    """FeatureCollections of 500 customers each, every second one with a CRS."""
+    path = folder(spark, "collections")
+    crs_text = F.when(
+        F.col("doc") % 2 == 0, '"crs":{"properties":{"name":"EPSG:2272"}},'
+    ).otherwise("")
+    listed = F.array_sort(F.collect_list(F.struct("k", "feature")))["feature"]
+    (
+        feature_lines(spark, sf_dir)
+        .groupBy(F.expr("k DIV 500").alias("doc"))
+        .agg(F.array_join(listed, ",\n").alias("features"))
+        .select("doc", F.concat(F.lit("{"), crs_text, F.lit('"features":['), "features", F.lit("]}")).alias("value"))
+        .repartition("doc")
+        .write.partitionBy("doc")
+        .text(path)
+    )
+    return _scanned(geojson.read_features(spark, f"{path}/*/*.txt"))
+
+
+def q_scan_lines(spark, sf_dir):
+    path = folder(spark, "lines")
+    geojson.write_feature_lines(feature_lines(spark, sf_dir), path)
+    return _scanned(geojson.read_features(spark, path, "lines", "EPSG:2272")).drop("feature_pos")
+
+
+def order_responses(spark, sf_dir, value: str) -> DataFrame:
+    """Responses of 200 orders each."""
+    record = F.struct(
+        F.col("o_custkey").alias("parcel_number"), F.expr(value).alias("market_value"), F.col("o_orderstatus").alias("zoning")
+    )
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.format_string("batch-%06d.json", F.expr("o_orderkey DIV 200")).alias("file_name"))
+        .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", record.alias("record"))))["record"].alias("rows"))
+        .select("file_name", F.to_json(F.struct("rows")).alias("response"))
+    )
+
+
+def q_scan_cache(spark, sf_dir):
+    path = folder(spark, "cache")
+    A.land_responses(order_responses(spark, sf_dir, "o_totalprice"), path)
+    found = A.assessments(A.read_cached_records(spark, path))
+    return found.select("parcel_number", "market_value", "zoning")
+
+
+def q_cache_refresh(spark, sf_dir):
+    """All batches landed, then those of an even number landed again with other values."""
+    path = folder(spark, "cache")
+    A.land_responses(order_responses(spark, sf_dir, "o_totalprice"), path)
+    again = order_responses(spark, sf_dir, "-o_totalprice")
+    A.land_responses(again.where(F.substring("file_name", 7, 6).cast("int") % 2 == 0), path)
+    found = A.assessments(A.read_cached_records(spark, path))
+    return found.select("parcel_number", "market_value", "zoning")
+
+
+def q_full_job(spark, sf_dir):
+    """The whole job over features and assessments read from files."""
+    lines, cache = folder(spark, "lines"), folder(spark, "cache")
+    geojson.write_feature_lines(feature_lines(spark, sf_dir), lines)
+    boxes = box_customers(spark, sf_dir)
+    accounts = boxes.select(F.col("parcel_id").alias("opa_account_num"))
+    plan = batches.batch_plan(accounts).select("file_name", F.explode("accounts").alias("parcel_id"))
+    record = F.struct(
+        F.col("parcel_id").alias("parcel_number"), "zoning", "total_livable_area", "market_value", "total_area"
+    )
+    A.land_responses(
+        plan.join(boxes, "parcel_id")
+        .groupBy("file_name")
+        .agg(F.collect_list(record).alias("rows"))
+        .select("file_name", F.to_json(F.struct("rows")).alias("response")),
+        cache,
+    )
+    config = JobConfig(
+        lines, cache, folder(spark, "out"), source_layout="lines", source_crs="EPSG:2272", run_stamp=STAMP
+    )
+    job.run(spark, config)
+    return _plain(spark.read.parquet(f"{config.output_dir}/candidate_properties"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The livable-area shortlist over sf0.001."""
     return q_shortlist(spark, "/root/testdata/sf0.001")
@@ -1034,6 +1149,23 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT * FROM cand WHERE candidate_id NOT IN (SELECT candidate_id FROM memb)",
         "count_mismatches": FAULTY_SQL
         + "SELECT * FROM cand JOIN actual USING (candidate_id) WHERE parcel_count <> actual_count",
+        "scan_features": BOXES + """
+            SELECT CASE WHEN k // 500 % 2 = 0 THEN 'EPSG:2272' ELSE 'EPSG:4326' END AS source_srid,
+                   CAST(row_number() OVER (PARTITION BY k // 500 ORDER BY k) - 1 AS INTEGER) AS feature_pos,
+                   parcel_id AS source_feature_id, parcel_id AS opa_account_num, street_address,
+                   x0 AS x, true AS named FROM boxes""",
+        "scan_lines": BOXES + """
+            SELECT 'EPSG:2272' AS source_srid, parcel_id AS source_feature_id,
+                   parcel_id AS opa_account_num, street_address, x0 AS x, true AS named FROM boxes""",
+        "scan_cache": """
+            SELECT CAST(o_custkey AS VARCHAR) AS parcel_number, max_by(o_totalprice, o_orderkey) AS market_value,
+                   max_by(o_orderstatus, o_orderkey) AS zoning FROM orders WHERE o_custkey <> 0 GROUP BY o_custkey""",
+        "cache_refresh": """
+            SELECT CAST(o_custkey AS VARCHAR) AS parcel_number,
+                   max_by(CASE WHEN o_orderkey // 200 % 2 = 0 THEN -o_totalprice ELSE o_totalprice END, o_orderkey)
+                     AS market_value,
+                   max_by(o_orderstatus, o_orderkey) AS zoning FROM orders WHERE o_custkey <> 0 GROUP BY o_custkey""",
+        "full_job": BOXES + f"SELECT {PLAIN_SQL} FROM cand",
         "enrichment_batches": PLAN_SQL + "SELECT * FROM plan",
         "enrichment_missing": PLAN_SQL
         + "SELECT batch_index, file_name FROM plan WHERE batch_index % 2 > 0",
