@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotline.llm.common import worker_store
-from lotline.llm.units import LETTERS, MEMO_ENTRIES, PRE_TOKENS, RUNS, Uneven, check_even
+from lotline.llm.units import LETTERS, PRE_TOKENS, RUNS, Uneven, check_even
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LIMIT = 512
+#: Entries of a dictionary of counts; a full one starts anew.
+MEMO_ENTRIES = 400_000
 #: Bytes of pre-tokens that are merged together.
 ROUND_BYTES = 1 << 20
 NONE = np.iinfo(np.int32).max

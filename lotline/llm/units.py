@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+from array import array
 
 import numpy as np
 import regex
@@ -18,8 +19,8 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Entries of a dictionary of pieces; a full one starts anew.
-MEMO_ENTRIES = 400_000
+#: Entries of a dictionary of pieces.
+MEMO_ENTRIES = 800_000
 
 # Unicode White_Space, and the pattern of byte-level pre-tokens.
 WHITE = "".join(
@@ -28,8 +29,10 @@ WHITE = "".join(
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 RUNS = re.compile(f"[{WHITE}]+(?![^{WHITE}])|[{WHITE}]?[^{WHITE}]+")
-EDGE = re.compile(f"[{WHITE}]|")
+WHITE_SET = frozenset(WHITE)
 PRE_TOKENS = regex.compile(PATTERN)
+#: Marks that form one pre-token with each other and none with a letter.
+MARKS, LAST_LATIN = ".,;:!?", chr(0xFF)
 
 
 class Uneven(Exception):
@@ -50,19 +53,28 @@ LETTERS = byte_letters()
 
 
 def as_letters(piece: str) -> str:
+    if piece.isascii() and piece.isalpha():
+        return piece
     return piece.encode().decode("latin-1").translate(LETTERS)
 
 
 class Memo(dict):
-    """A bounded dictionary that computes what it lacks."""
+    """A bounded dictionary that computes what it lacks.
 
-    def __init__(self, compute):
+    It has two generations: a full one becomes the old one, of which what is asked for again comes
+    back; the rest goes with the next change.
+    """
+
+    def __init__(self, compute, entries: int = MEMO_ENTRIES):
         super().__init__()
-        self.compute = compute
+        self.compute, self.most, self.old = compute, entries // 2, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
-        if len(self) >= MEMO_ENTRIES:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -70,7 +82,7 @@ class Memo(dict):
 
 def check_even(piece: str) -> str:
     """``piece`` itself if a text may be cut before and after it."""
-    if not piece or EDGE.match(piece[0])[0] or EDGE.match(piece[-1])[0]:
+    if not piece or piece[0] in WHITE_SET or piece[-1] in WHITE_SET:
         raise Uneven
     return piece
 
@@ -87,6 +99,14 @@ class Encoder:
         special = [re.escape(t.content) for t in added]
         self.special = re.compile("|".join(special)) if special else None
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.model = self.library.model
+        #: Pre-tokens by the letters of their bytes, for marks and other short ones.
+        self.token = Memo(self.from_letters, MEMO_ENTRIES // 4)
+
+    def from_letters(self, letters: str) -> bytes:
+        """The ids of one pre-token, given as its bytes' letters."""
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def whole(self, text: str) -> bytes:
         """The library's own ids."""
@@ -105,19 +125,36 @@ class Encoder:
         raise NotImplementedError
 
 
+def plain_word(piece: str) -> str:
+    """The word in a piece that is a Latin-1 word and perhaps marks after it; else nothing."""
+    word = piece.rstrip(MARKS)
+    return word if word.isalpha() and (word.isascii() or max(word) <= LAST_LATIN) else ""
+
+
 class ByteEncoder(Encoder):
     """Byte-level BPE: blanks belong to the piece after them."""
 
     def __init__(self, path: str):
         super().__init__(path)
-        model = self.library.model
-        self.token = Memo(
-            lambda piece: np.array(
-                [t.id for t in model.tokenize(as_letters(piece))], self.dtype
-            ).tobytes()
-        )
-        self.plain = Memo(lambda run: b"".join(map(self.token.__getitem__, PRE_TOKENS.findall(run))))
-        self.after_blank = Memo(lambda piece: self.plain.compute(" " + check_even(piece)))
+        self.plain = Memo(self._run, MEMO_ENTRIES // 4)
+        self.after_blank = Memo(self._after_blank)
+
+    def _run(self, run: str) -> bytes:
+        if word := plain_word(run):
+            marks = run[len(word) :]
+            return self.from_letters(as_letters(word)) + (self.token[marks] if marks else b"")
+        return b"".join([self.token[as_letters(t)] for t in PRE_TOKENS.findall(run)])
+
+    def _after_blank(self, piece: str) -> bytes:
+        word = plain_word(piece)
+        if not word:
+            last, line, first = check_even(piece).partition("\n")
+            if line and plain_word(last) and plain_word(first):  # a line ends between two words
+                return self.after_blank[last] + self.token[LETTERS[10]] + self.plain[first]
+            return self._run(" " + piece)
+        if len(word) < len(piece):
+            return self.after_blank[word] + self.token[piece[len(word) :]]
+        return self.from_letters(LETTERS[32] + as_letters(word))
 
     def _cut(self, text: str) -> bytes:
         first, *rest = text.split(" ")
@@ -132,7 +169,17 @@ class WordEncoder(Encoder):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.piece = Memo(self.whole)
+        self.piece = Memo(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        word = plain_word(piece)
+        if not word:
+            lines = piece.split("\n")
+            return b"".join([self.piece[x] for x in lines]) if len(lines) > 1 else self.whole(piece)
+        if len(word) < len(piece):
+            return self.piece[word] + self.token[piece[len(word) :]]
+        # For these letters the library's normalisation is the lower case.
+        return self.from_letters(as_letters(word.lower()))
 
     def _cut(self, text: str) -> bytes:
         return b"".join(map(self.piece.__getitem__, text.split(" ")))
