@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotline.llm.common import ascii_lower
@@ -36,16 +36,21 @@ def radix_groups(docs: DataFrame, carry: bool = False) -> DataFrame:
     doc_id is below all others. Of repeated rows with that same doc_id exactly one stays. An empty
     table gives an empty result.
     """
-    columns = ["doc_id", F.coalesce(F.col("text"), F.lit("")).alias("body")]
+    # Carried rows hold the text already; otherwise it travels in normalised form, while needed.
     if carry:
-        columns.append(F.struct("*").alias("source_row"))
-    extra = ["source_row"] if carry else []
+        extra, body = ["source_row"], ascii_lower(F.coalesce("source_row.text", F.lit("")))
+        rows = docs.select("doc_id", F.struct("*").alias("source_row"))
+        text = F.coalesce(F.col("source_row.text"), F.lit(""))
+    else:
+        extra, body = [], F.col("body")
+        rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("raw"))
+        text = F.col("raw")
     # The first 64 characters hold at least the first 64 bytes.
-    start = ascii_lower(F.substring("body", 1, FIRST_BYTES)).cast("binary")
-    level = docs.select(*columns).select(
+    start = ascii_lower(F.substring(text, 1, FIRST_BYTES)).cast("binary")
+    level = rows.select(
         "*",
         F.substring(start, 1, FIRST_BYTES).alias("digit"),
-        (F.octet_length("body") <= FIRST_BYTES).alias("ended"),
+        (F.octet_length(text) <= FIRST_BYTES).alias("ended"),
     )
     shared = (
         level.groupBy("digit", "ended")
@@ -53,27 +58,26 @@ def radix_groups(docs: DataFrame, carry: bool = False) -> DataFrame:
         .where("n > 1")
         .select("digit", "ended", F.lit(True).alias("shared"))
     )
-    body = ascii_lower(F.col("body"))
-    is_open = F.col("shared").isNotNull()
+    is_open, lowered = F.col("shared").isNotNull(), ascii_lower(text)
     state = staged(
         level.join(shared, ["digit", "ended"], "left").select(
             "doc_id",
             *extra,
             F.monotonically_increasing_id().alias("row_id"),
-            F.sha2(body.cast("binary"), 256).alias("text_sha256"),
+            F.sha2(lowered.cast("binary"), 256).alias("text_sha256"),
             F.col("doc_id").alias("keep_id"),
             F.lit(1).cast("long").alias("group_size"),
             F.lit(True).alias("kept"),
             is_open.alias("open"),
             F.when(is_open, F.col("digit")).alias("group"),
-            F.when(is_open, body).alias("body"),
+            *([] if carry else [F.when(is_open, lowered).alias("body")]),
         ),
         "radix-0",
     )
     levels = [state]
     done, width = FIRST_BYTES, FIRST_BYTES * GROWTH
     while not state.where("open").isEmpty():
-        state = staged(_split(state.where("open"), done, width, extra), f"radix-{len(levels)}")
+        state = staged(_split(state.where("open"), body, done, width, carry), f"radix-{len(levels)}")
         levels.append(state)
         done, width = done + width, width * GROWTH
     settled = [
@@ -83,12 +87,12 @@ def radix_groups(docs: DataFrame, carry: bool = False) -> DataFrame:
     return reduce(DataFrame.unionByName, settled)
 
 
-def _split(members: DataFrame, done: int, width: int, extra: list[str]) -> DataFrame:
+def _split(members: DataFrame, body: Column, done: int, width: int, carry: bool) -> DataFrame:
     """Split each group by its next ``width`` bytes."""
     digits = members.drop("keep_id", "group_size", "kept", "open").select(
         "*",
-        F.substring(F.col("body").cast("binary"), done + 1, width).alias("digit"),
-        (F.octet_length("body") <= done + width).alias("ended"),
+        F.substring(body.cast("binary"), done + 1, width).alias("digit"),
+        (F.octet_length(body) <= done + width).alias("ended"),
     )
     keys = ["group", "digit", "ended"]
     counts = (
@@ -104,7 +108,7 @@ def _split(members: DataFrame, done: int, width: int, extra: list[str]) -> DataF
     is_open = F.col("n").isNotNull() & ~F.col("ended")
     return digits.join(counts, keys, "left").select(
         "doc_id",
-        *extra,
+        *(["source_row"] if carry else []),
         "row_id",
         "text_sha256",
         F.when(same, F.col("top.doc_id")).otherwise(F.col("doc_id")).alias("keep_id"),
@@ -112,7 +116,7 @@ def _split(members: DataFrame, done: int, width: int, extra: list[str]) -> DataF
         (~same | (F.col("top.row_id") == F.col("row_id"))).alias("kept"),
         is_open.alias("open"),
         F.when(is_open, F.col("next_group")).alias("group"),
-        F.when(is_open, F.col("body")).alias("body"),
+        *([] if carry else [F.when(is_open, F.col("body")).alias("body")]),
     )
 
 
