@@ -443,6 +443,36 @@ def q_pairs_hot_owner(spark, sf_dir):
     return found.withColumn("pair_distance", F.round("pair_distance", 6))
 
 
+def q_pairs_blank_and_null(spark, sf_dir):
+    """Blank owners and missing geometries take no part."""
+    k = F.col("parcel_id").cast("bigint")
+    parcels = residential(spark, sf_dir).withColumns(
+        {
+            "owner_normalized": F.when(k % 7 == 0, "").otherwise(F.col("owner_normalized")),
+            "geom": F.when(k % 11 > 0, F.col("geom")),
+        }
+    )
+    found = pairs_within(parcels, 500.0)
+    return found.withColumn("pair_distance", F.round("pair_distance", 6))
+
+
+def q_pairs_many_vertices(spark, sf_dir):
+    """All parcels under one owner, each side of a box in five edges."""
+    steps = "sequence(0, 4)"
+    sides = [("x0 + 10 * i", "y0"), ("x0 + 50", "y0 + 10 * i"), ("x0 + 50 - 10 * i", "y0 + 50"), ("x0", "y0 + 50 - 10 * i")]
+    points = ", ".join(
+        f"transform({steps}, i -> named_struct('x', CAST({x} AS DOUBLE), 'y', CAST({y} AS DOUBLE)))" for x, y in sides
+    )
+    ring = f"concat({points}, array(named_struct('x', x0, 'y', y0)))"
+    parcels = box_customers(spark, sf_dir).where("upper(trim(zoning)) LIKE 'R%'").select(
+        "parcel_id",
+        F.lit("ONE").alias("owner_normalized"),
+        F.expr(f"named_struct('kind', 'Polygon', 'parts', array(array({ring})))").alias("geom"),
+    )
+    found = pairs_within(parcels, 60.0)
+    return found.withColumn("pair_distance", F.round("pair_distance", 6))
+
+
 def q_candidates(spark, sf_dir):
     return _plain(rows(spark, sf_dir))
 
@@ -727,6 +757,14 @@ def q_map_extent(spark, sf_dir):
     return export.map_extent(shortlisted_features(spark, sf_dir))
 
 
+def q_map_extent_degrees(spark, sf_dir):
+    moved = lonlat_boxes(spark, sf_dir).withColumn(
+        "geom", crs.to_working(F.col("geom"), F.col("source_srid"))
+    )
+    extent = export.map_extent(export.with_lonlat(moved), "lonlat")
+    return extent.select(*[F.round(c, 8).alias(c) for c in extent.columns])
+
+
 def q_summary_by_type(spark, sf_dir):
     return export.summary(rows(spark, sf_dir))
 
@@ -939,9 +977,9 @@ def q_full_job(spark, sf_dir):
     return _plain(spark.read.parquet(f"{config.output_dir}/candidate_properties"))
 
 
-def entry(spark: SparkSession) -> DataFrame:
-    """The livable-area shortlist over sf0.001."""
-    return q_shortlist(spark, "/root/testdata/sf0.001")
+def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
+    """The livable-area shortlist."""
+    return q_shortlist(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -1130,6 +1168,23 @@ def oracle_sql() -> dict[str, str]:
         "map_extent": BOXES + """
             SELECT min(x0) AS xmin, min(y0) AS ymin, max(x0) + 50 AS xmax, max(y0) + 50 AS ymax
             FROM feats""",
+        "map_extent_degrees": """
+            SELECT round(min(c_custkey % 1000 * 0.0003::DOUBLE - 75.3::DOUBLE), 8) AS xmin,
+                   round(min(c_custkey % 777 * 0.0003::DOUBLE + 39.85::DOUBLE), 8) AS ymin,
+                   round(max(c_custkey % 1000 * 0.0003::DOUBLE - 75.3::DOUBLE) + 0.001::DOUBLE, 8) AS xmax,
+                   round(max(c_custkey % 777 * 0.0003::DOUBLE + 39.85::DOUBLE) + 0.001::DOUBLE, 8) AS ymax
+            FROM customer""",
+        "pairs_blank_and_null": BOXES + """
+            SELECT owner_normalized, id_a, id_b, round(d, 6) AS pair_distance FROM pairs
+            WHERE CAST(id_a AS BIGINT) % 7 > 0 AND CAST(id_b AS BIGINT) % 7 > 0
+              AND CAST(id_a AS BIGINT) % 11 > 0 AND CAST(id_b AS BIGINT) % 11 > 0""",
+        "pairs_many_vertices": BOXES + """
+            SELECT 'ONE' AS owner_normalized, id_a, id_b, round(d, 6) AS pair_distance FROM (
+              SELECT a.parcel_id AS id_a, b.parcel_id AS id_b,
+                     sqrt(pow(greatest(0, abs(a.x0 - b.x0) - 50), 2)
+                          + pow(greatest(0, abs(a.y0 - b.y0) - 50), 2)) AS d
+              FROM res a JOIN res b ON a.parcel_id < b.parcel_id
+                AND abs(a.x0 - b.x0) <= 110 AND abs(a.y0 - b.y0) <= 110) WHERE d <= 60""",
         "summary_by_type": BOXES
         + "SELECT candidate_type, count(*) AS candidates FROM cand GROUP BY candidate_type",
         "quality_checks": FAULTY_SQL + """
