@@ -198,7 +198,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     made = (
         docs.select("doc_id", "text", F.col("n_chars").cast("long").alias("n_chars"))
         .join(F.broadcast(sample), "doc_id")
-        .select("doc_id", "text", "n_chars", "quality")
+        # One text of each doc_id, so that a repeated one cannot outgrow the sample.
+        .groupBy("doc_id")
+        .agg(F.max(F.struct("text", "n_chars", "quality")).alias("row"))
+        .select("row.*")
         .mapInArrow(_featurize, "quality int, buckets binary, statistics array<double>")
         .toPandas()
     )

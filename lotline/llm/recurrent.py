@@ -248,7 +248,10 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Network:
     place = F.pmod(F.xxhash64("doc_id", F.lit("place")), room).cast("int") + 1
     drawn = (
         usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(1_000_000 * share))
-        .select(F.substring(F.col("text"), place, F.lit(TRAIN_CHARS)).alias("part"), "lang")
+        # One window of each doc_id, so that a repeated one cannot outgrow the sample.
+        .groupBy("doc_id")
+        .agg(F.max(F.struct(F.substring(F.col("text"), place, F.lit(TRAIN_CHARS)).alias("part"), "lang")).alias("row"))
+        .select("row.*")
         .toPandas()
         .sort_values(["lang", "part"], kind="stable")
     )
