@@ -45,8 +45,10 @@ PERCENT = 80
 #: Cells of the sketch of shingle frequencies; its size does not grow with the data.
 SKETCH_BITS = 18
 SKETCH_SLICES = 16
+#: Bits of the map of documents whose sets are wanted; its size does not grow with the data.
+WANTED_BITS = 22
 #: Groups of the count vectors, entries of a leaf, and nodes that one task joins.
-GROUPS = 32
+GROUPS = 128
 LEAF = 32
 CELL = 8192
 
@@ -111,11 +113,12 @@ def prefix_size(n: int) -> int:
 
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and name of each document; at the end, this task's part of the sketch."""
+    """Size, name and point of each document; at the end, this task's part of the sketch."""
     make = shingler()
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+    waiting, held = [], 0
     for batch in batches:
-        texts, sizes, nodes, checks = batch.column("text").cast(pa.binary()), [], [], []
+        texts, sizes, nodes, checks, points = batch.column("text").cast(pa.binary()), [], [], [], []
         for i in range(batch.num_rows):
             words = make.words(texts[i].as_py())
             shingles = make.set_of(words)
@@ -123,15 +126,29 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(shingles))
             nodes.append(node)
             checks.append(check)
-            np.add.at(sketch, (shingles & np.uint64(len(sketch) - 1)).astype(np.int64), 1)
-        yield _pass_rows(batch.column("row"), batch.column("doc_id"), sizes, nodes, checks, None, None)
+            points.append(group_counts(shingles).tobytes() if words else None)
+            waiting.append(shingles)
+            held += len(shingles)
+            if held > 1 << 20:
+                sketch += cell_counts(waiting)
+                waiting, held = [], 0
+        yield _pass_rows(batch.column("row"), batch.column("doc_id"), sizes, nodes, checks, points, None, None)
+    sketch += cell_counts(waiting)
     if sketch.any():
         parts = [p.tobytes() for p in np.split(sketch, SKETCH_SLICES)]
         none = [None] * len(parts)
-        yield _pass_rows(none, none, none, none, none, list(range(len(parts))), parts)
+        yield _pass_rows(none, none, none, none, none, none, list(range(len(parts))), parts)
 
 
-def _pass_rows(row, doc_id, sizes, nodes, checks, slices, parts) -> pa.RecordBatch:
+def cell_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles of some sets fall in each cell of the sketch."""
+    if not sets:
+        return np.zeros(1 << SKETCH_BITS, np.int64)
+    cells = np.concatenate(sets) & np.uint64((1 << SKETCH_BITS) - 1)
+    return np.bincount(cells.astype(np.int64), minlength=1 << SKETCH_BITS)
+
+
+def _pass_rows(row, doc_id, sizes, nodes, checks, points, slices, parts) -> pa.RecordBatch:
     n = len(sizes)
     columns = [
         pa.array(row, pa.int64()) if isinstance(row, list) else row,
@@ -139,14 +156,17 @@ def _pass_rows(row, doc_id, sizes, nodes, checks, slices, parts) -> pa.RecordBat
         pa.array(sizes, pa.int64()),
         pa.array(nodes, pa.int64()),
         pa.array(checks, pa.int64()),
+        pa.array(points, pa.binary()),
         pa.array(slices or [None] * n, pa.int32()),
         pa.array(parts or [None] * n, pa.binary()),
     ]
-    names = ["row", "doc_id", "n_shingles", "node", "check", "slice", "part"]
+    names = ["row", "doc_id", "n_shingles", "node", "check", "point", "slice", "part"]
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-PASS_ROWS = "row long, doc_id long, n_shingles long, node long, check long, slice int, part binary"
+PASS_ROWS = (
+    "row long, doc_id long, n_shingles long, node long, check long, point binary, slice int, part binary"
+)
 
 
 def _sum_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,22 +291,54 @@ def group_counts(shingles: np.ndarray) -> np.ndarray:
     return np.bincount(groups.astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    make = shingler()
-    for batch in batches:
-        texts, wanted, nodes, sets, points = batch.column("text").cast(pa.binary()), batch.column("wanted").to_pylist(), [], [], []
-        for i in range(batch.num_rows):
-            words = make.words(texts[i].as_py())
-            # A doc_id may be on several texts; the name tells which is meant.
-            if words and name_of(words)[0] == wanted[i]:
-                shingles = make.set_of(words)
-                nodes.append(wanted[i])
-                sets.append(shingles.tobytes())
-                points.append(group_counts(shingles).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(sets, pa.binary()), pa.array(points, pa.binary())],
-            names=["node", "shingles", "point"],
-        )
+def wanted_map(wanted: DataFrame) -> np.ndarray:
+    """A bit for each wanted (node, doc_id), in a map of fixed size.
+
+    It keeps sets that nobody asks for out of the shuffle. Where very many are wanted it lets more
+    through, which costs space but changes nothing.
+    """
+    doc_id = F.coalesce("doc_id", F.lit(0).cast("long"))
+    key = F.col("node").bitwiseXOR(doc_id).bitwiseXOR(F.shiftleft(doc_id, 20))
+    bit = key.bitwiseAND(F.lit((1 << WANTED_BITS) - 1))
+    words = wanted.select(bit.alias("bit")).selectExpr(
+        "shiftright(bit, 5) AS word", "shiftleft(1L, CAST(bit & 31 AS INT)) AS mask"
+    )
+    bits = np.zeros(1 << (WANTED_BITS - 5), np.uint32)
+    for r in words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
+        bits[r["word"]] = r["mask"]
+    return bits
+
+
+def _sets(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make, seen, bits = shingler(), set(), shared.value
+        for batch in batches:
+            texts, doc_ids, nodes, sets = batch.column("text").cast(pa.binary()), batch.column("doc_id").to_pylist(), [], []
+            for i in range(batch.num_rows):
+                words = make.words(texts[i].as_py())
+                if not words:
+                    continue
+                node, doc_id = name_of(words)[0], doc_ids[i] or 0
+                bit = (node ^ doc_id ^ (doc_id << 20)) & ((1 << WANTED_BITS) - 1)
+                if int(bits[bit >> 5]) >> (bit & 31) & 1 and node not in seen:
+                    if len(seen) > 500_000:
+                        seen.clear()
+                    seen.add(node)
+                    nodes.append(node)
+                    sets.append(make.set_of(words).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "shingles"]
+            )
+
+    return run
+
+
+def sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, label: str) -> DataFrame:
+    """The shingle sets of the nodes in ``pairs`` (a, b), read from the first document of each."""
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = asked.join(nodes, "node").select("node", F.col("lead.doc_id").alias("doc_id"))
+    shared = docs.sparkSession.sparkContext.broadcast(wanted_map(wanted))
+    return staged(docs.select("doc_id", "text").mapInArrow(_sets(shared), "node long, shingles binary"), label)
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,11 +370,14 @@ def _with(pairs: DataFrame, sets: DataFrame, column: str, side: str, name: str)
     return pairs.join(sets.select(F.col("node").alias(side), F.col(column).alias(name)), side)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, check_points: bool) -> DataFrame:
+def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose points allow a link."""
+    both = _with(_with(pairs, nodes, "point", "a", "point_a"), nodes, "point", "b", "point_b")
+    return both.select("a", "b", "point_a", "point_b").mapInArrow(_bounded, "a long, b long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link."""
-    if check_points:
-        both = _with(_with(pairs, sets, "point", "a", "point_a"), sets, "point", "b", "point_b")
-        pairs = both.select("a", "b", "point_a", "point_b").mapInArrow(_bounded, "a long, b long")
     both = _with(_with(pairs, sets, "shingles", "a", "set_a"), sets, "shingles", "b", "set_b")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(_verified, "a long, b long")
 
@@ -469,7 +524,7 @@ def _pairs_of(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(part_of[0]), pa.array(part_of[1])], names=["a", "b"])
 
 
-def tree_pairs(blocks: DataFrame, labels: DataFrame, sets: DataFrame, cell: int) -> DataFrame:
+def tree_pairs(blocks: DataFrame, labels: DataFrame, nodes: DataFrame, cell: int) -> DataFrame:
     """Pairs of different classes in one block that the R-trees do not exclude."""
     marked = staged(
         blocks.select("route", "node")
@@ -487,7 +542,7 @@ def tree_pairs(blocks: DataFrame, labels: DataFrame, sets: DataFrame, cell: int)
     cells = (
         marked.join(mixed_blocks, "route")
         .select("route", "node", "label", part.alias("part"), "parts")
-        .join(sets.select("node", "point"), "node")
+        .join(nodes.select("node", "point"), "node")
         .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
         .select(
             "route",
@@ -522,12 +577,17 @@ def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
     """
     docs = docs.select("row", "doc_id", "text")
     first = staged(docs.mapInArrow(_first_pass, PASS_ROWS), "shingle-sizes")
-    rows = first.where("slice IS NULL").select("row", "doc_id", "n_shingles", "node", "check")
+    rows = first.where("slice IS NULL").select("row", "doc_id", "n_shingles", "node", "check", "point")
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     nodes = staged(
         rows.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min(lead).alias("lead"), F.min("check").alias("c0"), F.max("check").alias("c1")),
+        .agg(
+            F.min(lead).alias("lead"),
+            F.min("check").alias("c0"),
+            F.max("check").alias("c1"),
+            F.min("point").alias("point"),
+        ),
         "nodes",
     )
     if not nodes.where("c0 <> c1").isEmpty():
@@ -535,23 +595,13 @@ def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
     sketch = sketch_of(first)
     blocks = staged(blocks_of(docs, sketch), "blocks")
 
-    wanted = blocks.select("node").distinct().join(nodes, "node")
-    sets = staged(
-        docs.select("doc_id", "text")
-        .join(wanted.select(F.col("lead.doc_id").alias("rep"), F.col("node").alias("wanted")), F.col("doc_id").eqNullSafe(F.col("rep")))
-        .select("text", "wanted")
-        .mapInArrow(_sets, "node long, shingles binary, point binary")
-        .dropDuplicates(["node"]),
-        "shingle-sets",
-    )
     fits = f"first <> node AND 100 * first_n >= {PERCENT} * n AND 100 * n >= {PERCENT} * first_n"
-    stars = staged(
-        blocks.where(fits).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "stars"
-    )
-    links = staged(verified(stars, sets, True), "links")
+    stars = blocks.where(fits).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    stars = staged(bounded(stars, nodes), "stars")
+    links = staged(verified(stars, sets_of(docs, stars, nodes, "star-sets")), "links")
     classes = staged(components(links), "classes")
-    more = staged(tree_pairs(blocks, classes, sets, cell), "tree-pairs")
-    found = staged(verified(more, sets, False), "tree-links")
+    more = staged(tree_pairs(blocks, classes, nodes, cell), "tree-pairs")
+    found = staged(verified(more, sets_of(docs, more, nodes, "tree-sets")), "tree-links")
     if found.isEmpty():
         labels = classes
     else:
@@ -574,17 +624,14 @@ def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
 
 
 def with_rows(docs: DataFrame) -> DataFrame:
-    """A written copy of ``docs`` as (row, doc_id, text, source_row), each row with a number."""
-    return staged(
-        docs.select(
-            F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.struct("*").alias("source_row")
-        ),
-        "numbered",
-    )
+    """A written copy of ``docs`` as (row, source_row), each row with a number."""
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("source_row"))
+    return staged(numbered, "numbered")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, all columns unchanged."""
     numbered = with_rows(docs)
-    kept = near_duplicates(numbered).where("kept").select("row")
+    texts = numbered.select("row", "source_row.doc_id", "source_row.text")
+    kept = near_duplicates(texts).where("kept").select("row")
     return numbered.join(kept, "row", "left_semi").select("source_row.*")
