@@ -33,17 +33,26 @@ def staging_run(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _run.reset(token)
-        system, path = fs.FileSystem.from_uri(f"{staging_root(spark)}/lotline{name}")
-        if system.get_file_info(path).type == fs.FileType.Directory:
-            system.delete_dir(path)
+        _remove(f"{staging_root(spark)}/lotline{name}")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def _remove(folder: str) -> None:
+    """Remove a folder; on a file system that Arrow does not know, it is left to expire."""
+    try:
+        system, path = fs.FileSystem.from_uri(folder)
+    except (OSError, ValueError):
+        return
+    if system.get_file_info(path).type == fs.FileType.Directory:
+        system.delete_dir(path)
+
+
+def staged(df: DataFrame, label: str, lasting: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet and return a reader of it.
 
     Several uses then share one computation, its lineage ends at files that outlive any executor,
-    and each use reads only the columns it needs.
+    and each use reads only the columns it needs. A ``lasting`` table stays when a staging run ends.
     """
-    path = f"{staging_root(df.sparkSession)}/lotline{_run.get()}/{label}-{uuid.uuid4().hex}"
+    run = "" if lasting else _run.get()
+    path = f"{staging_root(df.sparkSession)}/lotline{run}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
