@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import sys
 from array import array
 
@@ -31,8 +32,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 RUNS = re.compile(f"[{WHITE}]+(?![^{WHITE}])|[{WHITE}]?[^{WHITE}]+")
 WHITE_SET = frozenset(WHITE)
 PRE_TOKENS = regex.compile(PATTERN)
-#: Marks that form one pre-token with each other and none with a letter.
-MARKS, LAST_LATIN = ".,;:!?", chr(0xFF)
+#: Marks that after a word, at the end of a piece, form one pre-token of their own.
+MARKS, LAST_LATIN = string.punctuation, chr(0xFF)
 
 
 class Uneven(Exception):
