@@ -35,7 +35,10 @@ def worker_store(name: str) -> dict:
     """A dict that lives as long as the Python worker process.
 
     Functions sent by value get fresh globals for each task; loaded vocabularies and bounded
-    caches are kept here instead, so a worker builds them once.
+    caches are kept here instead, so a worker builds them once. Only those of one operator are
+    kept at a time: a worker that goes on to another operator's tasks drops the ones before.
     """
     home = sys.modules.setdefault("lotline_worker_store", ModuleType("lotline_worker_store"))
-    return home.__dict__.setdefault(name, {})
+    if getattr(home, "name", None) != name:
+        home.name, home.kept = name, {}
+    return home.kept

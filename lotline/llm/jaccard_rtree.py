@@ -8,8 +8,9 @@ node. The others are found exactly, in these steps:
    order. The order is by how common a shingle is (a sketch of fixed size, counted over all
    documents), so routes are mostly shingles that few documents have. Nodes on one route are a
    block; blocks of a single node go.
-2. Contraction. In each block, the first node is compared with the others, and components are made
-   of the links found. A group of near copies becomes one class here, at one comparison per member.
+2. Contraction. In each block, the first few nodes are compared with the others, one after the
+   other, and components are made of the links found. A group of near copies becomes one class here,
+   at a few comparisons per member.
 3. R-tree join. Of the blocks that still hold several classes, the shingles of each node are hashed
    into groups and the group counts indexed as points. The overlap of two sets is at most the sum
    of the smaller counts; of two tree nodes, of their upper corners. A pair of tree nodes is dropped
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from lotline.llm.common import worker_store
 from lotline.llm.components import components
-from lotline.sources.staging import staged
+from lotline.sources.staging import staged, staging_run
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -47,6 +48,8 @@ SKETCH_BITS = 18
 SKETCH_SLICES = 16
 #: Bits of the map of documents whose sets are wanted; its size does not grow with the data.
 WANTED_BITS = 22
+#: First nodes of a block that the others are compared with before the trees are built.
+LEADS = 4
 #: Groups of the count vectors, entries of a leaf, and nodes that one task joins.
 GROUPS = 128
 LEAF = 32
@@ -54,7 +57,7 @@ CELL = 8192
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-MEMO_WORDS = 500_000
+MEMO_WORDS = 300_000
 
 
 # --- shingles ------------------------------------------------------------------------------------
@@ -237,48 +240,52 @@ def _routes(shared):
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (route, node) to those of routes with several nodes, with the first of them.
 
-    A route's first row waits until a second node shows up; nothing else is held, however many
-    rows a route has.
+    Of the route in progress the first ``LEADS`` nodes and the last one are held, nothing else,
+    however many rows it has. A first node goes out when a second one shows up.
     """
-    now = None  # route, last node, first node, its size, whether the first row has gone out
+    route = last = None
+    lead_nodes = lead_sizes = np.zeros(0, np.int64)
     for batch in batches:
         if not batch.num_rows:
             continue
         key, node, n = (batch.column(c).to_numpy() for c in ("route", "node", "n"))
         fresh = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
-        if now and key[0] == now[0] and node[0] == now[1]:
+        if key[0] == route and node[0] == last:
             fresh[0] = False
         key, node, n = key[fresh], node[fresh], n[fresh]
         if not len(key):
             continue
-        held = now and key[0] == now[0]
-        if held:  # the waiting first row stands before this batch's
-            key, node, n = np.append(now[0], key), np.append(now[2], node), np.append(now[3], n)
+        held = len(lead_nodes) if key[0] == route else 0
+        if held:  # the nodes held stand before this batch's
+            key = np.concatenate([np.full(held, route), key])
+            node, n = np.concatenate([lead_nodes, node]), np.concatenate([lead_sizes, n])
         begins = np.append(True, key[1:] != key[:-1])
         begin = np.flatnonzero(begins)
         block = np.cumsum(begins) - 1
         size = np.diff(np.append(begin, len(key)))
         out = size[block] > 1
-        first = begin[block]
-        last = begin[-1]
-        gone = bool(size[-1] > 1 or (held and last == 0 and now[4]))
-        if held and now[4]:
-            out[0] = False
-        now = (key[-1], node[-1], node[last], n[last], gone)
+        if held > 1:  # they went out before
+            out[:held] = False
+        first, count = begin[block][out], np.minimum(LEADS, size)[block][out]
+        ends = np.cumsum(count)
+        place = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(ends - count, count)
+        route, last = key[-1], node[-1]
+        lead_nodes = node[begin[-1] : begin[-1] + LEADS]
+        lead_sizes = n[begin[-1] : begin[-1] + LEADS]
+        leads = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(node[place]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x[out]) for x in (key, node, n, node[first], n[first])],
-            names=["route", "node", "n", "first", "first_n"],
+            [pa.array(key[out]), pa.array(node[out]), pa.array(n[out]), leads], names=["route", "node", "n", "leads"]
         )
 
 
 def blocks_of(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """Route, node and size of the nodes of every block, and the block's first node."""
+    """Route, node and size of the nodes of every block, and the block's first nodes."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     routes = docs.select("text").mapInArrow(_routes(shared), "route long, node long, n long")
     return (
         routes.repartition("route")
         .sortWithinPartitions("route", "node")
-        .mapInArrow(_blocks, "route long, node long, n long, first long, first_n long")
+        .mapInArrow(_blocks, "route long, node long, n long, leads array<long>")
     )
 
 
@@ -450,13 +457,13 @@ class RTree:
                 yield a[x], b[y]
             elif same and i == j:
                 stack += [(self.left[i], self.left[i]), (self.left[i], self.right[i]), (self.right[i], self.right[i])]
-            elif b is not None or (a is None and len_of(self, i) >= len_of(other, j)):
+            elif b is not None or (a is None and width_of(self, i) >= width_of(other, j)):
                 stack += [(self.left[i], j), (self.right[i], j)]
             else:
                 stack += [(i, other.left[j]), (i, other.right[j])]
 
 
-def len_of(tree: RTree, i: int) -> int:
+def width_of(tree: RTree, i: int) -> int:
     """How wide a tree node is, to descend into the wider one."""
     return tree.most[i] - tree.least[i]
 
@@ -592,21 +599,8 @@ def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
     )
     if not nodes.where("c0 <> c1").isEmpty():
         raise ValueError("two word sequences have one 64-bit name")
-    sketch = sketch_of(first)
-    blocks = staged(blocks_of(docs, sketch), "blocks")
-
-    fits = f"first <> node AND 100 * first_n >= {PERCENT} * n AND 100 * n >= {PERCENT} * first_n"
-    stars = blocks.where(fits).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    stars = staged(bounded(stars, nodes), "stars")
-    links = staged(verified(stars, sets_of(docs, stars, nodes, "star-sets")), "links")
-    classes = staged(components(links), "classes")
-    more = staged(tree_pairs(blocks, classes, nodes, cell), "tree-pairs")
-    found = staged(verified(more, sets_of(docs, more, nodes, "tree-sets")), "tree-links")
-    if found.isEmpty():
-        labels = classes
-    else:
-        joined = classes.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found)
-        labels = staged(components(joined), "classes")
+    with staging_run(docs.sparkSession):
+        labels = staged(_labels(docs, first, nodes, cell), "labels", lasting=True)
 
     placed = nodes.join(labels, "node", "left").select(
         "node", F.coalesce("label", "node").alias("label"), "lead"
@@ -623,6 +617,46 @@ def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
     )
 
 
+def _labels(docs: DataFrame, first: DataFrame, nodes: DataFrame, cell: int) -> DataFrame:
+    """The component (node, label) of each node that links to another."""
+    blocks = staged(blocks_of(docs, sketch_of(first)), "blocks")
+    classes = contracted(docs, blocks, nodes)
+    more = staged(tree_pairs(blocks, classes, nodes, cell), "tree-pairs")
+    found = staged(verified(more, sets_of(docs, more, nodes, "tree-sets")), "tree-links")
+    if found.isEmpty():
+        return classes
+    joined = classes.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found)
+    return components(joined)
+
+
+def contracted(docs: DataFrame, blocks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Classes (node, label) from the links between each block's first nodes and the others.
+
+    One round for each of the first nodes; a round leaves out what is one class already. Nodes are
+    in the order of their names, so blocks of the same near copies have the same first nodes.
+    """
+    spread = blocks.select(F.posexplode("leads").alias("turn", "a"), F.col("node").alias("b"))
+    stars = spread.where("a < b").groupBy("a", "b").agg(F.min("turn").alias("turn"))
+    fits = bounded(stars.select("a", "b"), nodes)
+    stars = staged(fits.join(stars, ["a", "b"]), "stars")
+    sets = sets_of(docs, stars, nodes, "star-sets")
+    none = docs.sparkSession.createDataFrame([], "node long, label long")
+    classes = none
+    for turn in range(LEADS):
+        todo = stars.where(F.col("turn") == turn).select("a", "b")
+        if turn:
+            for side in ("a", "b"):
+                label = classes.select(F.col("node").alias(side), F.col("label").alias(f"class_{side}"))
+                todo = todo.join(label, side, "left")
+            todo = todo.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("a", "b")
+        todo = staged(todo, "star-round")
+        if todo.isEmpty():
+            continue
+        edges = classes.select(F.col("node").alias("a"), F.col("label").alias("b")).union(verified(todo, sets))
+        classes = staged(components(staged(edges, "links")), "classes")
+    return classes
+
+
 def with_rows(docs: DataFrame) -> DataFrame:
     """A written copy of ``docs`` as (row, source_row), each row with a number."""
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("source_row"))

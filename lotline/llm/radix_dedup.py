@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotline.llm.common import ascii_lower
-from lotline.sources.staging import staged
+from lotline.sources.staging import staged, staging_run
 
 FIRST_BYTES = 64
 GROWTH = 4
@@ -122,4 +122,6 @@ def _split(members: DataFrame, body: Column, done: int, width: int, carry: bool)
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: one of each group of equal texts, all columns unchanged."""
-    return radix_groups(docs, carry=True).where("kept").select("source_row.*")
+    with staging_run(docs.sparkSession):
+        kept = radix_groups(docs, carry=True).where("kept").select("source_row")
+        return staged(kept, "kept", lasting=True).select("source_row.*")
