@@ -1,8 +1,9 @@
 """Benchmark decontamination with suffix arrays over the training text.
 
 Each task turns its documents into shards of word numbers, sorts the suffixes of a shard and
-binary-searches every benchmark suffix in it. That gives, for each benchmark suffix, its longest
-verbatim match and the places of it. No row is shuffled, and a document is always in one shard.
+binary-searches every benchmark suffix in it. That gives the places of each benchmark window, and at
+each of these places the longest verbatim match. No document is shuffled, and one is always in one
+shard.
 
 Words are numbered by the benchmark's own vocabulary, an exact dictionary; a word that is not in it
 gets 0 and ends a match. Suffixes that meet such a word before the shortest window is complete
@@ -90,6 +91,10 @@ class Benchmark:
         self.left = np.repeat(sizes, sizes) - inside
         need = np.repeat(np.minimum(sizes, window), sizes)
         self.window = np.where(self.left >= need, need, 0)
+        #: Rank of each suffix's item among the names in string order.
+        self.ranked = sorted(set(self.names))
+        rank = {name: i for i, name in enumerate(self.ranked)}
+        self.rank = np.repeat(np.array([rank[name] for name in self.names], np.int64), sizes)
         self.shortest = int(need.min()) if len(need) else 0
         self.deepest = int(sizes.max()) if len(sizes) else 0
 
@@ -157,29 +162,72 @@ def _bound(sa, words, depth, target, low, high, right):
 def search(bench: Benchmark, words: np.ndarray, sa: np.ndarray):
     """Binary search of every benchmark suffix, word by word.
 
-    Returns the longest match of each suffix, one place of it, and for each suffix the range of the
-    array that starts with its window (empty where the window does not occur).
+    Returns for each suffix the range of the array that starts with its window (empty where the
+    window does not occur), and the ranges in which a suffix, its window complete, goes no further
+    with all places: low, high, depth in words, rank of the item. A range of the same places may
+    come at several depths; for each depth it has the lowest rank.
     """
     q = len(bench.place)
-    longest, first = np.zeros(q, np.int64), np.full(q, -1, np.int64)
     window_low, window_high = np.zeros(q, np.int64), np.zeros(q, np.int64)
     alive = np.arange(q)
     low, high = np.zeros(q, np.int64), np.full(q, len(sa), np.int64)
+    left = [np.zeros((4, 0), np.int64)]
     depth = 0
     while len(alive) and len(sa):
         fits = bench.left[alive] > depth
-        alive, low, high = alive[fits], low[fits], high[fits]
         target = bench.words[bench.place[alive] + depth]
-        new_low = _bound(sa, words, depth, target, low, high, False)
-        new_high = _bound(sa, words, depth, target, new_low, high, True)
+        new_low = _bound(sa, words, depth, target, low, np.where(fits, high, low), False)
+        new_high = _bound(sa, words, depth, target, new_low, np.where(fits, high, new_low), True)
         found = new_low < new_high
+        window = bench.window[alive]
+        leaves = (window > 0) & (window <= depth) & (new_high - new_low < high - low)
+        if leaves.any():
+            # Ranges of one depth are equal or apart, so the lower end names them.
+            ends = np.stack([low[leaves], high[leaves], bench.rank[alive[leaves]]])
+            ends = ends[:, np.lexsort((ends[2], ends[0]))]
+            ends = ends[:, np.append(True, ends[0][1:] != ends[0][:-1])]
+            left.append(np.insert(ends, 2, depth, axis=0))
         alive, low, high = alive[found], new_low[found], new_high[found]
         depth += 1
-        longest[alive] = depth
-        first[alive] = sa[low]
         whole = bench.window[alive] == depth
         window_low[alive[whole]], window_high[alive[whole]] = low[whole], high[whole]
-    return longest, first, window_low, window_high
+    return window_low, window_high, np.concatenate(left, axis=1)
+
+
+def innermost(low: np.ndarray, high: np.ndarray, depth: np.ndarray):
+    """Cuts nested ranges into pieces, each with the number of the deepest range that covers it.
+
+    Two ranges are apart or one holds the other, and then the inner one is deeper.
+    """
+    pieces: list[tuple[int, int, int]] = []
+    around: list[int] = []
+    at = 0
+    ends = high.tolist()
+    order = np.lexsort((depth, -high, low))
+    for n, begin in zip(order.tolist(), low[order].tolist()):
+        while around and ends[around[-1]] <= begin:
+            inner = around.pop()
+            pieces.append((at, ends[inner], inner))
+            at = ends[inner]
+        if around:
+            pieces.append((at, begin, around[-1]))
+        at = begin
+        around.append(n)
+    while around:
+        inner = around.pop()
+        pieces.append((at, ends[inner], inner))
+        at = ends[inner]
+    begin, end, number = np.array(pieces, np.int64).reshape(-1, 3).T
+    # A range over the same places as a deeper one is left without a piece.
+    some = begin < end
+    return begin[some], end[some], number[some]
+
+
+def _expanded(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of some ranges, and which range each is from."""
+    sizes = end - begin
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + begin[owner], owner
 
 
 def match_shard(bench: Benchmark, words: np.ndarray, starts: np.ndarray) -> list[dict | None]:
@@ -188,7 +236,7 @@ def match_shard(bench: Benchmark, words: np.ndarray, starts: np.ndarray) -> list
     out: list[dict | None] = [None] * docs
     bits = max(1, len(bench.vocabulary).bit_length())
     sa = suffix_array(words, bench.shortest, bench.deepest, bits)
-    longest, first, low, high = search(bench, words, sa)
+    low, high, left = search(bench, words, sa)
     hit_by = np.flatnonzero(high > low)
     if not len(hit_by):
         return out
@@ -200,9 +248,8 @@ def match_shard(bench: Benchmark, words: np.ndarray, starts: np.ndarray) -> list
     names: list[set[str]] = [set() for _ in range(ranges.shape[1])]
     for r, s in zip(which, hit_by):
         names[r].add(bench.names[bench.item[s]])
-    sizes = ranges[1] - ranges[0]
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    places = sa[np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + ranges[0][owner]]
+    places, owner = _expanded(ranges[0], ranges[1])
+    places = sa[places]
     edge = np.bincount(places, minlength=len(words) + 1) - np.bincount(
         places + ranges[2][owner], minlength=len(words) + 1
     )
@@ -218,14 +265,15 @@ def match_shard(bench: Benchmark, words: np.ndarray, starts: np.ndarray) -> list
         out[d]["items"] |= names[r]
     for d, a, b in zip(span_doc, span_from, span_to):
         out[d]["hit_spans"].append([int(a - starts[d]), int(b - starts[d])])
-    at_doc = np.searchsorted(starts, first[hit_by], side="right") - 1
-    for s, d in zip(hit_by, at_doc):
-        if longest[s] > out[d]["longest"]:
-            out[d] |= {
-                "longest": int(longest[s]),
-                "longest_item": bench.names[bench.item[s]],
-                "longest_at": int(first[s] - starts[d]),
-            }
+    # Every place of an occurring window, with its longest match; the best one of each document.
+    begin, end, number = innermost(left[0], left[1], left[2])
+    places, owner = _expanded(begin, end)
+    places, depth, rank = sa[places], left[2][number[owner]], left[3][number[owner]]
+    doc = np.searchsorted(starts, places, side="right") - 1
+    best = np.lexsort((places, -depth, doc))
+    best = best[np.append(True, doc[best][1:] != doc[best][:-1])]
+    for d, p, n, r in zip(doc[best], places[best], depth[best], rank[best]):
+        out[d] |= {"longest": int(n), "longest_item": bench.ranked[r], "longest_at": int(p - starts[d])}
     return out
 
 
@@ -239,7 +287,10 @@ def _merged(old: dict | None, new: dict | None, n_words: int) -> dict:
                 spans[-1][1] = max(spans[-1][1], b)
             else:
                 spans.append([a, b])
-        best = new if new["longest"] > out["longest"] else out
+        best = min(
+            (h for h in (out, new) if h["longest"]),
+            key=lambda h: (-h["longest"], h["longest_at"], h["longest_item"]),
+        )
         out = {k: best[k] for k in ("longest", "longest_item", "longest_at")} | {
             "items": sorted({*out["items"], *new["items"]}),
             "hit_spans": spans,
@@ -299,8 +350,8 @@ def matched(
     """``docs`` (doc_id, text, ...) as the struct ``source_row``, with ``hits``.
 
     ``hits`` holds n_words, the word spans covered by occurring windows, the items they belong to
-    (sorted as strings), and the longest verbatim match with its item and word position. A null or
-    empty text has no words and no hits; an item without words is no item; a null item_id is named
+    (sorted as strings), and the longest verbatim match with its item and word position: of equally
+    long ones the first in the text, and of its items the first as a string. A null or empty text has no words and no hits; an item without words is no item; a null item_id is named
     by the empty string; repeated items count once. Empty tables give no hits or no rows.
     """
     spark = docs.sparkSession

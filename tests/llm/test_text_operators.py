@@ -112,6 +112,43 @@ def test_longest_match(spark):
     assert best == {1: (5, "9", 1, [[1, 6]]), 2: (3, "9", 0, [[0, 3]])}
 
 
+def longest_of(docs, items, **more):
+    rows = S.matched(docs, items, **more).select("source_row.doc_id", "hits.*").collect()
+    return Counter((r.doc_id, r.longest, r.longest_item, r.longest_at) for r in rows)
+
+
+def test_longest_match_of_every_document_of_a_shard(spark):
+    passage = "a b c d e f"
+    rows = [(1, "x a b c d e y"), (2, "a b c"), (3, f"x {passage}"), (4, f"{passage} y"), (5, f"x x {passage}"), (6, "b c d b c d e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(9, passage), (10, f"z {passage}")], "item_id long, text string")
+    assert longest_of(docs, items, window=3) == Counter(
+        [(1, 5, "10", 1), (2, 3, "10", 0), (3, 6, "10", 1), (4, 6, "10", 0), (5, 6, "10", 2), (6, 4, "10", 3)]
+    )
+
+
+@pytest.mark.parametrize("block_bytes, shard_words", [(1 << 20, 1_000_000), (1 << 20, 50), (400, 1000)])
+def test_longest_match_by_brute_force(passages, block_bytes, shard_words):
+    docs, texts, benchmark, items = passages
+    split = [("" if i is None else str(i), WORDS.findall(lowered(t))) for i, t in items]
+    wanted = Counter()
+    for doc_id, text in texts:
+        # No long match lies in the filler of the longest text.
+        words = WORDS.findall(lowered(text))
+        best, skip = (0, None, None), max(0, len(words) - 200)
+        for at in range(skip, len(words)):
+            for name, ws in split:
+                for i in range(len(ws)):
+                    n = 0
+                    while at + n < len(words) and i + n < len(ws) and words[at + n] == ws[i + n]:
+                        n += 1
+                    if n >= min(13, len(ws)) and (-n, at, name) < (-best[0], best[2] or 0, best[1] or ""):
+                        best = (n, name, at)
+        wanted[(doc_id, *best)] += 1
+    for parts in (docs, docs.coalesce(1)):
+        assert longest_of(parts, benchmark, block_bytes=block_bytes, shard_words=shard_words) == wanted
+
+
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(0)
     for top in (2, 3, 40):
