@@ -4,7 +4,11 @@ Each task takes its documents in the order they come. A fixed number of bins is
 they stand in lists by their free space, and a bitset has one bit for each free space that some
 bin has. The best bin for a piece is the lowest set bit at or above its length. Where none fits, a
 new bin opens, and if too many are open the fullest closes first, which is the lowest set bit of
-all. Nothing is shuffled; a task holds one batch and its open bins.
+all. A piece is written when its bin closes, so a task holds one batch and its open bins.
+
+The bins open at the end of a task could still be joined with those of other tasks. Their pieces,
+and no others, are dealt out anew to few tasks and packed again there, longest first. The pieces of
+the first pass are staged, so no text is encoded twice.
 """
 
 from __future__ import annotations
@@ -18,15 +22,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lotline.llm.common import worker_store
 from lotline.llm.units import WordEncoder
+from lotline.sources.staging import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 2048
 END_ID = 0
 OPEN_BINS = 1024
+#: About how many pieces one task packs in the second pass; all its bins stay open.
+AGAIN_PIECES = 100_000
 
 PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -42,6 +50,7 @@ _PIECES = pa.schema(
         ("offset", pa.int64()),
     ]
 )
+_FIRST_PIECES = _PIECES.append(pa.field("open", pa.bool_()))
 
 
 class OpenBins:
@@ -50,6 +59,8 @@ class OpenBins:
     def __init__(self, capacity: int, most: int, first: int = 0):
         self.capacity, self.most, self.next = capacity, most, first
         self.bits, self.open = 0, 0
+        #: Bins closed since the caller last emptied the list.
+        self.closed: list[int] = []
         self.by_free: list[deque[int]] = [deque() for _ in range(capacity)]
 
     def _take(self, free: int) -> int:
@@ -72,10 +83,12 @@ class OpenBins:
         left = free - length
         if left:
             if self.open >= self.most:
-                self._take((self.bits & -self.bits).bit_length() - 1)
+                self.closed.append(self._take((self.bits & -self.bits).bit_length() - 1))
             self.by_free[left].append(chosen)
             self.bits |= 1 << left
             self.open += 1
+        else:
+            self.closed.append(chosen)
         return chosen, self.capacity - free
 
 
@@ -84,6 +97,11 @@ def word_encoder(path: str) -> WordEncoder:
     return known.get(path) or known.setdefault(path, WordEncoder(path))
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
 def _pack(path: str, capacity: int, end_id: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
@@ -91,8 +109,8 @@ def _pack(path: str, capacity: int, end_id: int, most: int):
         width = encoder.dtype.itemsize
         # Bins of different tasks get numbers of their own.
         bins = OpenBins(capacity, most, TaskContext.get().partitionId() << 40)
+        waiting: dict[int, list[tuple]] = {}
         for batch in batches:
-            rows: list[tuple] = []
             ids_of = batch.column("doc_id").to_pylist()
             texts = batch.column("text")
             for i, doc_id in enumerate(ids_of):
@@ -101,11 +119,27 @@ def _pack(path: str, capacity: int, end_id: int, most: int):
                     part = ids[start * width : (start + capacity) * width]
                     crc = zlib.crc32(np.frombuffer(part, encoder.dtype).astype("<u4").tobytes())
                     length = len(part) // width
-                    rows.append((doc_id, piece, start, length, crc, *bins.place(length)))
-            columns = list(zip(*rows)) or [()] * len(_PIECES)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, _PIECES)], schema=_PIECES
-            )
+                    chosen, offset = bins.place(length)
+                    row = (doc_id, piece, start, length, crc, chosen, offset, False)
+                    waiting.setdefault(chosen, []).append(row)
+            yield _batch([row for b in bins.closed for row in waiting.pop(b)], _FIRST_PIECES)
+            bins.closed.clear()
+        yield _batch([(*row[:-1], True) for rows in waiting.values() for row in rows], _FIRST_PIECES)
+
+    return run
+
+
+def _pack_again(capacity: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Above the numbers of the first pass.
+        bins = OpenBins(capacity, sys.maxsize, (1 << 62) + (TaskContext.get().partitionId() << 40))
+        for batch in batches:
+            placed = [bins.place(length) for length in batch.column("length").to_pylist()]
+            bins.closed.clear()
+            for name, values in zip(("sequence_id", "offset"), zip(*placed) if placed else ((), ())):
+                at = batch.schema.get_field_index(name)
+                batch = batch.set_column(at, _PIECES.field(name), pa.array(values, pa.int64()))
+            yield batch
 
     return run
 
@@ -124,4 +158,15 @@ def packed_pieces(
     null or empty text is the end id alone. Repeated rows are packed each; a null doc_id stays
     null. An empty table gives no pieces.
     """
-    return docs.select("doc_id", "text").mapInArrow(_pack(path, capacity, end_id, most), PIECES)
+    first = docs.select("doc_id", "text").mapInArrow(
+        _pack(path, capacity, end_id, most), f"{PIECES}, open boolean"
+    )
+    first = staged(first, "pieces")
+    left = first.where("open").drop("open")
+    again = (
+        left.repartition(left.count() // AGAIN_PIECES + 1)
+        # A total order, so that a repeated attempt gives the same sequences.
+        .sortWithinPartitions(F.desc("length"), "sequence_id", "offset")
+        .mapInArrow(_pack_again(capacity), PIECES)
+    )
+    return first.where("NOT open").drop("open").unionByName(again)

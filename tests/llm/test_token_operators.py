@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -131,6 +131,23 @@ def test_best_fit_takes_the_fullest_bin_that_fits():
     assert bins.place(10) == (4, 0)
 
 
+@pytest.mark.parametrize("again", [100_000, 40])
+def test_bins_of_many_small_partitions_are_joined(docs, monkeypatch, again):
+    capacity = 64
+    few = P.packed_pieces(docs.coalesce(1), vocabulary(WORD_BPE), capacity).collect()
+    monkeypatch.setattr(P, "AGAIN_PIECES", again)
+    many = P.packed_pieces(docs.repartition(60), vocabulary(WORD_BPE), capacity).collect()
+    assert Counter(tuple(p)[:5] for p in few) == Counter(tuple(p)[:5] for p in many)
+    sequences = defaultdict(list)
+    for p in many:
+        sequences[p.sequence_id].append((p.offset, p.length))
+    for parts in sequences.values():
+        ends = [at + length for at, length in sorted(parts)]
+        assert [at for at, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= capacity
+    least = -(-sum(p.length for p in many) // capacity)
+    assert len(sequences) <= 1.03 * least + 1 + len(many) // again
+
+
 @pytest.mark.parametrize("most", [1, 3, 1024])
 def test_packing(docs, no_docs, most):
     capacity = 64
