@@ -149,6 +149,15 @@ def test_longest_match_by_brute_force(passages, block_bytes, shard_words):
         assert longest_of(parts, benchmark, block_bytes=block_bytes, shard_words=shard_words) == wanted
 
 
+def test_copies_of_an_item_do_not_fill_a_block(spark):
+    rows = [(i, f"item {i} " + "word " * 20) for i in range(40)] + [(1, "one " * 30)] * 500
+    items = spark.createDataFrame(rows, "item_id long, text string").repartition(3)
+    blocks = list(S.benchmark_blocks(items, 13, 1000))
+    assert sorted(n for b in blocks for n in b.names) == sorted(str(r[0]) for r in set(rows))
+    assert len(blocks) == sum(len(t) for _, t in set(rows)) // 1000 + 1
+    assert max(len(b.names) for b in blocks) < 30
+
+
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(0)
     for top in (2, 3, 40):
