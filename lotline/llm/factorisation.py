@@ -189,12 +189,13 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     hash of doc_id, so the sample that is broadcast and collected has a fixed bound. Null labels
     and null doc_ids are left out; a doc_id with several labels has the largest.
     """
-    usable = labels.where(
-        F.col("quality").isNotNull() & (crc_of_id() % FOLDS != HELD_OUT)
-    ).select("doc_id", F.col("quality").cast("int").alias("quality"))
+    usable = (
+        labels.where(F.col("quality").isNotNull() & (crc_of_id() % FOLDS != HELD_OUT))
+        .groupBy("doc_id")
+        .agg(F.max(F.col("quality").cast("int")).alias("quality"))
+    )
     share = min(1.0, rows / max(1, usable.count()))
-    drawn = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(1_000_000 * share))
-    sample = drawn.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    sample = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(1_000_000 * share))
     made = (
         docs.select("doc_id", "text", F.col("n_chars").cast("long").alias("n_chars"))
         .join(F.broadcast(sample), "doc_id")

@@ -243,7 +243,7 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Network:
     usable = docs.where(
         F.col("lang").isNotNull() & (F.length("text") > 0) & (crc_of_id() % FOLDS != HELD_OUT)
     )
-    share = min(1.0, rows / max(1, usable.count()))
+    share = min(1.0, rows / max(1, usable.select("doc_id").distinct().count()))
     room = F.greatest(F.length("text") - TRAIN_CHARS, F.lit(0)) + 1
     place = F.pmod(F.xxhash64("doc_id", F.lit("place")), room).cast("int") + 1
     drawn = (

@@ -177,6 +177,13 @@ def test_quality(spark):
     assert Q.good_documents(docs, marks).columns == docs.columns
 
 
+def test_repeated_labels_do_not_shrink_the_sample(spark, monkeypatch):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "1L AS n_chars")
+    labels = spark.range(400 * 50).selectExpr("id % 400 AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    monkeypatch.setattr(Q, "fit", lambda buckets, statistics, labels: len(labels))
+    assert 60 <= Q.train(docs, labels, rows=100) <= 140
+
+
 # --- language ------------------------------------------------------------------------------------
 
 
@@ -230,6 +237,12 @@ def test_pool_reads_every_byte_whatever_the_batch():
     assert many[0].tolist() == [0, 0] and many[1:].sum(axis=1) == pytest.approx(1, abs=1e-4)
 
 
+def test_repeated_documents_do_not_shrink_the_sample(spark, monkeypatch):
+    docs = spark.range(400 * 50).selectExpr("id % 400 AS doc_id", "concat('text ', id % 400) AS text", "'aa' AS lang")
+    monkeypatch.setattr(L, "fit", lambda windows, labels: len(labels))
+    assert 60 <= L.train(docs, rows=100) <= 140
+
+
 def test_language(spark):
     rng = random.Random(1)
     syllables = {"aa": ["ka", "to", "mi", "ru"], "bb": ["sch", "und", "eit", "ver"], "cc": ["é", "eau", "oi", "que"]}
