@@ -85,7 +85,7 @@ class Cell:
             out[t] = state
         return out
 
-    def learn(self, bytes_: np.ndarray, backwards: bool):
+    def learn(self, bytes_: np.ndarray, backwards: bool, valid: np.ndarray | None = None):
         """As ``states``, with what ``backpropagate`` needs."""
         steps, batch = bytes_.shape
         h = self.hidden.shape[1]
@@ -101,16 +101,22 @@ class Cell:
             new = curve(raw_new)
             trace.append((t, state, raw, gates, mixed[2 * h :], raw_new, new))
             state = gates[:h] * state + (1 - gates[:h]) * new
+            if valid is not None:
+                state = state * valid[t]
             out[t] = state
         return out, trace
 
-    def backpropagate(self, bytes_: np.ndarray, trace: list, slopes: np.ndarray):
+    def backpropagate(
+        self, bytes_: np.ndarray, trace: list, slopes: np.ndarray, valid: np.ndarray | None = None
+    ):
         """Slopes of ``inputs`` and ``hidden`` from those of the states, back through time."""
         h = self.hidden.shape[1]
         d_inputs, d_hidden = np.zeros_like(self.inputs), np.zeros_like(self.hidden)
         d_state = np.zeros_like(slopes[0])
         for t, state, raw, gates, mixed, raw_new, new in reversed(trace):
             d_state = d_state + slopes[t]
+            if valid is not None:
+                d_state = d_state * valid[t]
             update, reset = gates[:h], gates[h:]
             d_new = d_state * (1 - update) / (1 + np.abs(raw_new)) ** 2
             d_raw = np.concatenate([d_state * (state - new), d_new * mixed])
@@ -151,7 +157,8 @@ def _softmax(logits: np.ndarray, bias: np.ndarray) -> np.ndarray:
 def fit(windows: list[bytes], labels: list[str], seed: int = 11) -> Network:
     """Train on segments of ``windows``: each byte's language is that of its document.
 
-    ``STEPS`` batches of Adam, however many windows there are.
+    ``STEPS`` batches of Adam, however many windows there are. A window shorter than a training
+    segment is padded and the padding masked; every window of a batch counts alike.
     """
     languages = sorted(set(labels))
     rng = np.random.default_rng(seed)
@@ -162,30 +169,34 @@ def fit(windows: list[bytes], labels: list[str], seed: int = 11) -> Network:
         return net
     number = {name: i for i, name in enumerate(languages)}
     steps = SEGMENT // 2
-    kept = [(w, number[name]) for w, name in zip(windows, labels) if len(w) >= steps]
-    if not kept:
-        kept = [((w * steps)[:steps], number[name]) for w, name in zip(windows, labels) if w]
+    kept = [(w, number[name]) for w, name in zip(windows, labels) if w]
     if not kept:
         return net
     values = [cells[0].inputs, cells[0].hidden, cells[1].inputs, cells[1].hidden, net.out, net.bias]
     first, second = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values]
     for step in range(1, STEPS + 1):
         picked = rng.integers(0, len(kept), BATCH)
-        begin = [rng.integers(0, len(kept[p][0]) - steps + 1) for p in picked]
+        begin = [rng.integers(0, max(0, len(kept[p][0]) - steps) + 1) for p in picked]
+        parts = [kept[p][0][b : b + steps] for p, b in zip(picked, begin)]
+        length = np.array([len(part) for part in parts])
         bytes_ = np.stack(
-            [np.frombuffer(kept[p][0], np.uint8, steps, b) for p, b in zip(picked, begin)], axis=1
+            [np.frombuffer(part.ljust(steps, b"\0"), np.uint8) for part in parts], axis=1
         ).astype(np.int64)
+        full = length.min() == steps
+        valid = None if full else (np.arange(steps)[:, None] < length).astype(np.float32)
         truth = np.array([kept[p][1] for p in picked])
-        ahead, ahead_trace = cells[0].learn(bytes_, False)
-        back, back_trace = cells[1].learn(bytes_, True)
+        ahead, ahead_trace = cells[0].learn(bytes_, False, valid)
+        back, back_trace = cells[1].learn(bytes_, True, valid)
         both = np.concatenate([ahead, back], axis=1)
         wrong = _softmax(np.matmul(net.out, both), net.bias)
         wrong[:, truth, np.arange(BATCH)] -= 1
-        wrong /= wrong.shape[0] * BATCH
+        wrong /= (length * BATCH).astype(np.float32)
+        if valid is not None:
+            wrong *= valid[:, None, :]
         d_both = np.matmul(net.out.T, wrong)
         slopes = [
-            *cells[0].backpropagate(bytes_, ahead_trace, d_both[:, :HIDDEN]),
-            *cells[1].backpropagate(bytes_, back_trace, d_both[:, HIDDEN:]),
+            *cells[0].backpropagate(bytes_, ahead_trace, d_both[:, :HIDDEN], valid),
+            *cells[1].backpropagate(bytes_, back_trace, d_both[:, HIDDEN:], valid),
             np.einsum("tlb,thb->lh", wrong, both),
             wrong.sum(axis=(0, 2))[:, None],
         ]

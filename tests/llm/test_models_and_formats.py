@@ -243,6 +243,37 @@ def test_repeated_documents_do_not_shrink_the_sample(spark, monkeypatch):
     assert 60 <= L.train(docs, rows=100) <= 140
 
 
+def test_masked_backpropagation_ignores_padding():
+    rng = np.random.default_rng(0)
+    cell = L.Cell(rng.normal(size=(9, 256)), rng.normal(size=(9, 3)))
+    bytes_, slopes = rng.integers(0, 4, (5, 2)), rng.normal(size=(5, 3, 2))
+    valid = (np.arange(5)[:, None] < np.array([2, 5])).astype(float)
+    for backwards in (False, True):
+        out, trace = cell.learn(bytes_, backwards, valid)
+        masked = cell.backpropagate(bytes_, trace, slopes, valid)
+        alone = []
+        for column, size in ((0, 2), (1, 5)):
+            part = bytes_[:size, column : column + 1]
+            states, trace = cell.learn(part, backwards)
+            np.testing.assert_allclose(out[:size, :, column], states[:, :, 0], atol=1e-6)
+            alone.append(cell.backpropagate(part, trace, slopes[:size, :, column : column + 1]))
+        for whole, *parts in zip(masked, *alone):
+            np.testing.assert_allclose(whole, sum(parts), atol=1e-5)
+
+
+def test_a_language_of_short_texts_is_learned():
+    rng = random.Random(3)
+    syllables = {"aa": ["ka", "to", "mi", "ru"], "bb": ["sch", "und", "eit", "ver"], "cc": ["pfa", "gwo", "llx", "zzi"]}
+    made = lambda lang, n: "".join(rng.choice(syllables[lang]) + rng.choice(["", " "]) for _ in range(n)).encode()
+    size = {"aa": 60, "bb": 60, "cc": 8}
+    train = [(made(lang, size[lang]), lang) for lang in sorted(size) for _ in range(100)]
+    net = L.fit([w for w, _ in train], [lang for _, lang in train])
+    for lang in sorted(size):
+        for length in (8, size[lang]):
+            best = L.Pool(net).means([made(lang, length) for _ in range(50)]).argmax(axis=1)
+            assert np.mean(best == net.languages.index(lang)) > 0.9
+
+
 def test_language(spark):
     rng = random.Random(1)
     syllables = {"aa": ["ka", "to", "mi", "ru"], "bb": ["sch", "und", "eit", "ver"], "cc": ["é", "eau", "oi", "que"]}
