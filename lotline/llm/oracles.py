@@ -9,7 +9,84 @@ def lower(text: str) -> str:
     return f"translate({text}, '{UPPER}', '{LOWER}')"
 
 
+def jaccard_components(shingle: int, more: str = "") -> str:
+    """Components of documents that share 80 % of their distinct shingles, by recursion."""
+    return f"""
+        WITH RECURSIVE w AS MATERIALIZED (
+          SELECT row_number() OVER () AS r, doc_id,
+                 regexp_extract_all({lower("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS MATERIALIZED (
+          SELECT DISTINCT r, array_to_string(w[i:i + {shingle - 1}], ' ') AS s
+          FROM w, unnest(generate_series(1, greatest(len(w) - {shingle - 1}, 1))) AS t(i) WHERE len(w) > 0),
+        n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+        pairs AS (SELECT x.r AS a, y.r AS b, count(*) AS m FROM s x JOIN s y USING (s) WHERE x.r < y.r GROUP BY 1, 2),
+        links AS MATERIALIZED (
+          SELECT a, b FROM pairs JOIN n na ON na.r = a JOIN n nb ON nb.r = b
+          WHERE 100 * m >= 80 * (na.n + nb.n - m)),
+        steps AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(a, b) AS (
+          SELECT a, a FROM steps UNION SELECT reach.a, steps.b FROM reach JOIN steps ON reach.b = steps.a),
+        low AS (SELECT reach.a AS r, min(w.doc_id) AS component_id FROM reach JOIN w ON w.r = reach.b GROUP BY 1)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id{more}
+        FROM w LEFT JOIN n USING (r) LEFT JOIN low USING (r)"""
+
+
+def codebook_round(at: int) -> str:
+    """One round: the nearest entry of each part, then the mean of each entry's parts."""
+    near = f"""near{at} AS MATERIALIZED (
+          SELECT p.r, p.part, arg_min(e.entry, (d.gap, e.entry)) AS entry, min(d.gap) AS gap
+          FROM parts p JOIN book{at} e USING (part),
+               LATERAL (SELECT list_sum(list_transform(list_zip(p.x, e.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS gap) d
+          GROUP BY p.r, p.part)"""
+    means = f"""means{at} AS (
+          SELECT part, entry, list(CAST(floor(total / n) AS BIGINT) ORDER BY i) AS x
+          FROM (SELECT part, entry, i, sum(x[i])::DOUBLE AS total, count(*) AS n
+                FROM near{at} JOIN parts USING (r, part), unnest(generate_series(1, len(x))) AS t(i)
+                GROUP BY part, entry, i) GROUP BY part, entry),
+        book{at + 1} AS MATERIALIZED (
+          SELECT part, entry, coalesce(m.x, b.x) AS x FROM book{at} b LEFT JOIN means{at} m USING (part, entry))"""
+    return near if at == 2 else f"{near}, {means}"
+
+
 SQL = {
+    "op9_rtree_jaccard_join": jaccard_components(5),
+    "op13_bbit_minhash": jaccard_components(2, ", coalesce(component_id, doc_id) IS NOT DISTINCT FROM doc_id AS kept"),
+    "op11_hilbert_codebooks": f"""
+        WITH kept AS MATERIALIZED (
+          SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label,
+                 list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        parts AS MATERIALIZED (
+          SELECT r, CAST(part AS INTEGER) AS part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS x
+          FROM kept, unnest(generate_series(0, 15)) AS t(part)),
+        book0 AS MATERIALIZED (SELECT part, r AS entry, x FROM parts WHERE r < 64),
+        {codebook_round(0)}, {codebook_round(1)}, {codebook_round(2)},
+        coded AS (
+          SELECT r, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code,
+                 CAST(sum(gap) AS BIGINT) AS error FROM near2 GROUP BY r),
+        digest AS (
+          SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM kept JOIN coded USING (r), digest""",
+    "op12_fill_in_middle": """
+        WITH d AS (
+          SELECT doc_id, coalesce(text, '') AS body, length(body) AS n,
+                 sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        draws AS (
+          SELECT *, CAST('0x' || h[1:8] AS UBIGINT) % (n + 1) AS c1, CAST('0x' || h[9:16] AS UBIGINT) % (n + 1) AS c2,
+                 CAST('0x' || h[17:24] AS UBIGINT) % 100 AS h3, CAST('0x' || h[25:32] AS UBIGINT) % 100 AS h4 FROM d),
+        cuts AS (
+          SELECT *, CAST(least(c1, c2) AS BIGINT) AS a, CAST(greatest(c1, c2) AS BIGINT) AS b,
+                 CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR h3 >= 90
+                      THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM draws),
+        done AS (
+          SELECT *, substr(body, 1, a) AS p, substr(body, a + 1, b - a) AS m, substr(body, b + 1) AS s FROM cuts)
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(body) AS restored_sha256 FROM done""",
     "op1_warc_round_trip": """
         WITH p AS (SELECT page_id, url, coalesce(html, '') AS body,
                           max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper FROM pages),

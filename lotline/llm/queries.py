@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.llm import (
+    bbit_minhash,
     chat,
     factorisation,
+    fill_in_middle,
+    hilbert_codebooks,
     huffman,
     jaccard_rtree,
     packing,
@@ -88,3 +91,32 @@ def op9_rtree_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_rank_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return rank_merge.token_counts(docs, vocabulary(BYTE_BPE))
+
+
+def op11_hilbert_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = hilbert_codebooks.compressed(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    digest = "" if books is None else hilbert_codebooks.books_digest(books)
+    return hilbert_codebooks.with_label_errors(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256")
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle.transformed(read(spark, sf_dir, "documents", "doc_id", "text"))
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return rows.select(
+        "source_row.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+def op13_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    found = bbit_minhash.near_duplicates(docs.withColumn("row", F.monotonically_increasing_id()))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.select("doc_id", "n_shingles", "component_id", kept)

@@ -1,0 +1,311 @@
+"""Vector codes, fill-in-the-middle and b-bit MinHash against brute force."""
+
+import random
+from collections import Counter
+from hashlib import sha256
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from lotline.llm import bbit_minhash as B, cells as C, fill_in_middle as M, hilbert_codebooks as H
+from lotline.llm.shingles import Shingler, words_of
+from lotline.llm.units import Memo
+
+# --- vector codes --------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("dims, bits", [(2, 4), (3, 3), (4, 2), (1, 5)])
+def test_curve_visits_every_cell_through_neighbours(dims, bits):
+    cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
+    keys = H.hilbert_keys(cells, bits)
+    assert sorted(keys.tolist()) == list(range(len(cells)))
+    path = cells[np.argsort(keys)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def brute_codes(rows, rounds=2):
+    """(codes, errors) of integer vectors in the order of their ids, and the digest."""
+    v = np.array(rows, dtype=object).reshape(len(rows), 16, -1)
+    books = v[:64].copy()
+    for turn in range(rounds + 1):
+        gaps = ((v[:, None] - books[None]) ** 2).sum(axis=3)
+        code = gaps.astype(np.int64).argmin(axis=1)
+        if turn == rounds:
+            break
+        new = books.copy()
+        for part in range(16):
+            for entry in range(len(books)):
+                own = v[code[:, part] == entry, part]
+                if len(own):
+                    new[entry, part] = own.sum(axis=0) // len(own)
+        books = new
+    error = np.take_along_axis(gaps, code[:, None], axis=1).sum(axis=(1, 2))
+    flat = [books[e, p, i] for p in range(16) for e in range(len(books)) for i in range(books.shape[2])]
+    return code, error, sha256(",".join(map(str, flat)).encode()).hexdigest()
+
+
+def vector_rows(n, dims, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        base = rng.choice([-0.4, 0.0, 0.3])
+        rows.append((i * 37 % 1009, [base + rng.choice([rng.gauss(0, 0.1), 0.0, -0.001]) for _ in range(dims)], rng.choice([1, 2, None])))
+    return rows
+
+
+@pytest.mark.parametrize("n, dims, partitions", [(700, 64, 3), (40, 16, 2), (300, 32, 1), (1, 64, 1)])
+def test_codes_match_brute_force(spark, monkeypatch, n, dims, partitions):
+    rows = vector_rows(n, dims, n)
+    rows += [(5000, None, 1), (5001, [None] + [0.0] * (dims - 1), 2), (5002, [float("nan")] * dims, 2), (5003, [float("-inf")] * dims, 1)]
+    rows += rows[:1] * (n > 1)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("code", F.lit("clash"))
+    codes, books = H.compressed(df.repartition(partitions))
+    found = H.with_label_errors(codes).collect()
+    kept = sorted((r for r in rows if r[0] < 5000), key=lambda r: r[0])
+    ints = [[int(np.floor(256 * float(np.float32(x)))) for x in r[1]] for r in kept]
+    code, error, digest = brute_codes(ints)
+    assert H.books_digest(books) == digest
+    by_label = Counter()
+    for r, e in zip(kept, error):
+        by_label[r[2]] += int(e)
+    wanted = Counter((r[0], "".join(f"{x:02x}" for x in c), int(e), by_label[r[2]]) for r, c, e in zip(kept, code, error))
+    assert Counter((r.vec_id, r.code, r.error, r.label_error) for r in found) == wanted
+
+
+def test_large_components_use_wide_integers(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([-1, 1]) * rng.random() * 500_000 for _ in range(16)], None) for i in range(90)]
+    codes, books = H.compressed(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    code, error, digest = brute_codes([[int(np.floor(256 * x)) for x in r[1]] for r in rows])
+    assert H.books_digest(books) == digest
+    assert {r.vec_id: r.error for r in codes.collect()} == dict(enumerate(int(e) for e in error))
+
+
+def test_shortlists_keep_every_nearest_entry():
+    rng = np.random.default_rng(4)
+    points = rng.integers(-200, 200, (8000, 4))
+    book = rng.integers(-200, 200, (64, 4))
+    blocks = H.Blocks.of(points[H.curve_order(points)].astype(np.int32))
+    code, gap = blocks.codes(book)
+    gaps = ((points[H.curve_order(points)][:, None] - book[None]) ** 2).sum(axis=2)
+    assert (code == gaps.argmin(axis=1)).all() and (gap == gaps.min(axis=1)).all()
+    assert blocks.shortlists(book).mean() < 0.5
+    assert blocks.sums.sum(axis=0).tolist() == points.sum(axis=0).tolist()
+
+
+def test_chunks_are_bounded():
+    ids = pa.array(range(40_000), pa.int64())
+    vectors = pa.FixedSizeListArray.from_arrays(pa.array(np.zeros(40_000 * 16, np.float32)), 16).cast(pa.list_(pa.float32()))
+    batch = pa.RecordBatch.from_arrays([ids, ids, vectors], names=["vec_id", "label", "embedding"])
+    assert [b.column("size")[0].as_py() for b in H._chunked(iter([batch]))] == [16_384, 16_384, 7_232]
+
+
+def test_no_vectors_and_odd_lengths(spark):
+    kind = "vec_id long, embedding array<float>, label int"
+    codes, books = H.compressed(spark.createDataFrame([], kind))
+    assert books is None and H.with_label_errors(codes).collect() == []
+    assert H.compressed(spark.createDataFrame([(1, None, 1)], kind))[0].count() == 0
+    with pytest.raises(ValueError, match="one length"):
+        H.compressed(spark.createDataFrame([(1, [0.5] * 17, 1)], kind))
+    same = spark.createDataFrame([(None, [0.5] * 16, None), (2, [0.25] * 16, None)], kind)
+    assert {(r.vec_id, r.code) for r in H.compressed(same)[0].collect()} == {(2, "00" * 16), (None, "01" * 16)}
+
+
+# --- fill in the middle --------------------------------------------------------------------------
+
+
+def brute_middle(doc_id, text, seed="1"):
+    text = text or ""
+    n = len(text)
+    h = sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in range(0, 32, 8))
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return n, "plain", None, None, text
+    p, m, s = text[:a], text[a:b], text[b:]
+    if h4 % 100 < 20:
+        return n, "spm", a, b - a, f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", a, b - a, f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_middles_match_brute_force(spark, hard_texts, no_docs):
+    rng = random.Random(8)
+    texts = hard_texts + ["<P", "a<S>b", "<<M>", "x" * 200_000, "é" * 50_000 + "<S>", "漢" * 9_999, "a🙂" * 20_000]
+    texts += ["".join(rng.choice("ab é漢🙂<PSM>") for _ in range(rng.randrange(3000))) for _ in range(150)]
+    rows = [(i * 13 % 977, t, "plain") for i, t in enumerate(texts)] + [(None, "some text", None), (None, None, None), (4, "twice", "x"), (4, "twice", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, form string").withColumn("output", F.lit(1)).repartition(3)
+    out = M.transformed(df)
+    done = out.withColumn("back", M.restored(F.col("output"), F.col("form"))).collect()
+    found = Counter((r.source_row.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output) for r in done)
+    assert found == Counter((d, *brute_middle(d, t)) for d, t, _ in rows)
+    assert all(r.back == (r.source_row.text or "") for r in done)
+    assert {r.form for r in done} == {"plain", "psm", "spm"}
+    assert M.transformed(no_docs).collect() == []
+
+
+def test_chunks_follow_content_and_are_shared():
+    rng = random.Random(1)
+    shared = bytes(rng.randrange(256) for _ in range(20_000))
+    one, two = b"some start" + shared, bytes(rng.randrange(256) for _ in range(777)) + shared + b"end"
+
+    def chunks(text):
+        ends = M.chunk_ends(M.cut_places(np.frombuffer(text, np.uint8)), len(text))
+        return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+    a, b = chunks(one), chunks(two)
+    assert b"".join(a) == one and b"".join(b) == two
+    assert len(set(a) & set(b)) >= len(a) - 3 > 20
+    assert max(map(len, chunks(b"\x00" * 100_000))) <= M.LONGEST
+
+
+def test_hashes_do_not_depend_on_segments(monkeypatch):
+    data = np.random.default_rng(2).integers(0, 256, 50_000).astype(np.uint8)
+    whole = M.cut_places(data)
+    monkeypatch.setattr(M, "SEGMENT", 777)
+    assert M.cut_places(data).tolist() == whole.tolist()
+
+
+def test_markers_across_chunks_and_every_cut():
+    text = "ab<S>é漢🙂<P>x".encode()
+    memo = Memo(M.summary, 1000)
+    for size in (1, 2, 3, 5):
+        ends = [*range(size, len(text), size), len(text)]
+        parts = M.Chunked(text, ends, memo)
+        assert parts.marked() and parts.n == len(text.decode())
+        assert [parts.byte_of(k) for k in range(parts.n + 1)] == [len(text.decode()[:k].encode()) for k in range(parts.n + 1)]
+        assert not M.Chunked(b"<S<P<MS>P>M>", list(range(1, 13)), memo).marked()
+
+
+# --- b-bit MinHash -------------------------------------------------------------------------------
+
+
+def shingle_set(text):
+    words = words_of(text.encode()) if text else []
+    return frozenset(tuple(words[i : i + 2]) for i in range(max(1, len(words) - 1))) if words else frozenset()
+
+
+def brute_components(rows):
+    """(doc_id, set size, component) of every row, and the number of components."""
+    sets = [shingle_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    members = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            members.setdefault(find(i), []).append(d)
+    found = Counter((d, len(sets[i]), min(members.get(find(i), [None])) if sets[i] else d) for i, (d, _) in enumerate(rows))
+    return found, len({find(i) for i in range(len(rows))})
+
+
+@pytest.fixture(scope="module")
+def copies(hard_texts):
+    """Chains and families of near copies, around the bound too."""
+    rng = random.Random(6)
+    rows = [(i, t) for i, t in enumerate(hard_texts)]
+    for family in range(6):
+        words = [f"f{family}v{rng.randrange(60)}" for _ in range(rng.choice([9, 40, 90]))]
+        for _ in range(40):
+            if rng.random() < 0.6:
+                words = list(words)
+                words[rng.randrange(len(words))] = f"c{rng.randrange(1000)}"
+            rows.append((1000 + rng.randrange(4000), " ".join(words)))
+    rows += rows[-5:] + [(None, "null id"), (None, "NULL id"), (None, None), (7, ""), (8, "a"), (9, "A"), (9, "a b"), (10, "b a")]
+    return rows
+
+
+def components_found(spark, rows, **cells):
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("name", F.lit(1)).repartition(3)
+    df = B.staged(df.withColumn("row", F.monotonically_increasing_id()), "rows")
+    return B.near_duplicates(df, **cells).collect()
+
+
+@pytest.mark.parametrize("cells", [{}, {"band_cell": 7, "family_cell": 5}])
+def test_components_match_brute_force(spark, copies, cells):
+    found = components_found(spark, copies, **cells)
+    own = Counter((r.doc_id, r.n_shingles, r.component_id) for r in found)
+    assert (own, sum(r.first for r in found)) == brute_components(copies)
+
+
+def test_one_of_each_keeps_columns(spark, no_docs):
+    rows = [(2, "a b c d e f g h i j k", "x"), (1, "A b c d e f g h i j k", "y"), (None, "", None), (3, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, first string")
+    out = B.one_of_each(df)
+    assert out.columns == df.columns and {r.doc_id for r in out.collect()} == {1, 3, None}
+    assert B.one_of_each(no_docs).collect() == []
+
+
+def test_estimates_are_corrected():
+    rng = np.random.default_rng(5)
+    make, errors = Shingler(2), []
+    for share in np.repeat([0.0, 0.3, 0.6, 0.8, 0.95], 20):
+        common = rng.integers(0, 1 << 63, int(400 * share)).astype(np.uint64)
+        sets = [np.unique(np.concatenate([common, rng.integers(0, 1 << 63, 400 - len(common)).astype(np.uint64)])) for _ in range(2)]
+        truth = len(np.intersect1d(*sets)) / len(np.union1d(*sets))
+        signs = B.packed(B.minima(sets))
+        errors.append(B.corrected(B.agreements(signs[0], signs[1:])[0]) - truth)
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
+    assert signs.shape[1] * 8 == 64 and 0.6 < B.corrected(B.least_agreeing()) < 0.7
+    assert make.set_of([b"a", b"b", b"a", b"b"]).shape == (2,)
+
+
+def test_bands_lose_no_link_at_the_bound():
+    rng = np.random.default_rng(9)
+    missed = 0
+    for _ in range(300):
+        common = rng.integers(0, 1 << 63, 80).astype(np.uint64)
+        sets = [np.unique(np.concatenate([common, rng.integers(0, 1 << 63, 10).astype(np.uint64)])) for _ in range(2)]
+        found = B.minima(sets)
+        keys, signs = B.band_keys(found), B.packed(found)
+        missed += not len(np.intersect1d(*keys)) or B.agreements(signs[0], signs[1:])[0] < B.least_agreeing()
+    assert missed == 0
+
+
+def test_search_spans_components_with_few_links():
+    rng = random.Random(2)
+    for _ in range(60):
+        n = rng.randrange(2, 30)
+        labels = np.array([rng.randrange(n) for _ in range(n)])
+        parts = np.array([rng.randrange(rng.choice([1, 2])) for _ in range(n)])
+        links = {(i, j) for i in range(n) for j in range(n) if i != j and (i * j + i + j) % rng.choice([3, 5]) == 0}
+        links |= {(j, i) for i, j in links}
+        allowed = {(i, j) for i, j in links if parts[i] != parts[j] or (parts == parts[0]).all()}
+        found = C.search(labels, parts, lambda i, others: np.array([(i, j) in links for j in others.tolist()], bool))
+        assert set(found) <= allowed and len(found) < n
+
+        def classes(edges):
+            root = {int(x): int(x) for x in labels}
+
+            def find(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+
+            for i, j in edges:
+                root[find(int(labels[i]))] = find(int(labels[j]))
+            return [find(int(labels[i])) == find(int(labels[j])) for i in range(n) for j in range(n)]
+
+        assert classes(found) == classes(allowed)
+
+
+def test_a_hot_group_gives_linear_links(spark):
+    """One large family of near copies in small cells: links stay about as many as nodes."""
+    words = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(600):
+        own = list(words)
+        own[i % 60] = f"x{i}"
+        texts.append((i, " ".join(own)))
+    found = components_found(spark, texts, band_cell=50, family_cell=40)
+    assert {r.component_id for r in found} == {0}
