@@ -590,7 +590,11 @@ def q_touches_rotated(spark, sf_dir):
 
 def q_union_rotated(spark, sf_dir):
     """Area and parts of the dissolved union of turned boxes."""
-    union = with_union(rotated(meeting(spark, sf_dir)), "pair_distance")
+    return _rotated_union(meeting(spark, sf_dir))
+
+
+def _rotated_union(pairs: DataFrame) -> DataFrame:
+    union = with_union(rotated(pairs), "pair_distance")
     part_area = F.transform(
         "geom_union.parts",
         lambda part: F.aggregate(
@@ -607,7 +611,7 @@ def q_union_rotated(spark, sf_dir):
 
 
 def q_union_area(spark, sf_dir):
-    joined = with_union_area(meeting(spark, sf_dir))
+    joined = with_union_area(meeting(spark, sf_dir), "pair_distance")
     return joined.select("id_a", "id_b", F.round("union_area", 3).alias("union_area"))
 
 
@@ -996,6 +1000,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     hot = BOXES.replace("'OWNER ' || c_nationkey AS", "CASE WHEN c_custkey % 3 = 0 THEN 'HOT' ELSE 'OWNER ' || c_nationkey END AS")
     meet = TIGHT_BOXES + ", meet AS (SELECT * FROM pairs WHERE d = 0)"
+    rotated_union = meet + """
+        SELECT id_a, id_b, round(5000 - greatest(0, 50 - abs(xa - xb))
+                 * greatest(0, 50 - abs(ya - yb)), 1) AS area,
+               CAST(CASE WHEN abs(xa - xb) = 50 AND abs(ya - yb) = 50 THEN 2 ELSE 1 END AS INTEGER) AS parts,
+               true AS union_closed FROM meet"""
     found = llm.ORACLE_SQL if llm else {}
     if llm and corpus_pipeline.ORACLE_SQL:
         found = found | {"pipeline": corpus_pipeline.ORACLE_SQL}
@@ -1119,11 +1128,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT id_a, id_b, NOT (abs(xa - xb) < 50 AND abs(ya - yb) < 50) AS touches FROM meet""",
         "touches_rotated": meet + """
             SELECT id_a, id_b, NOT (abs(xa - xb) < 50 AND abs(ya - yb) < 50) AS touches FROM meet""",
-        "union_rotated": meet + """
-            SELECT id_a, id_b, round(5000 - greatest(0, 50 - abs(xa - xb))
-                     * greatest(0, 50 - abs(ya - yb)), 1) AS area,
-                   CAST(CASE WHEN abs(xa - xb) = 50 AND abs(ya - yb) = 50 THEN 2 ELSE 1 END AS INTEGER) AS parts,
-                   true AS union_closed FROM meet""",
+        "union_rotated": rotated_union,
+        "union_many_vertices": rotated_union,
         "union_area": meet + """
             SELECT id_a, id_b, round(5000 - greatest(0, 50 - abs(xa - xb))
                      * greatest(0, 50 - abs(ya - yb)), 3) AS union_area FROM meet""",

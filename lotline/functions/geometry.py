@@ -92,12 +92,15 @@ def ring_edges(ring: Column) -> Column:
 
 SHAPE = ["edges", "anchors", "xmin", "ymin", "xmax", "ymax"]
 
-# Consecutive vertices of every ring, as EDGE.
+# Consecutive vertices of every ring, as EDGE. A ring that is not closed ends in an edge of length
+# zero, so that every vertex is the start of an edge.
 _EDGES = f"""flatten(flatten(transform({{geom}}.parts, part -> transform(part, ring ->
-  CAST(arrays_zip(
-    slice(ring.x, 1, greatest(size(ring) - 1, 0)), slice(ring.y, 1, greatest(size(ring) - 1, 0)),
-    slice(ring.x, 2, greatest(size(ring) - 1, 0)), slice(ring.y, 2, greatest(size(ring) - 1, 0))
-  ) AS array<{EDGE}>)))))"""
+  CASE WHEN size(ring) > 1 AND get(ring, 0) = get(ring, size(ring) - 1) THEN CAST(arrays_zip(
+    slice(ring.x, 1, size(ring) - 1), slice(ring.y, 1, size(ring) - 1),
+    slice(ring.x, 2, size(ring) - 1), slice(ring.y, 2, size(ring) - 1)) AS array<{EDGE}>)
+  ELSE CAST(arrays_zip(
+    ring.x, ring.y, concat(slice(ring.x, 2, size(ring)), slice(ring.x, -1, 1)),
+    concat(slice(ring.y, 2, size(ring)), slice(ring.y, -1, 1))) AS array<{EDGE}>) END))))"""
 # One boundary vertex of each part.
 _ANCHORS = "array_compact(transform({geom}.parts, part -> get(get(part, 0), 0)))"
 _BOUND = "array_{end}(flatten(flatten({geom}.parts)).{axis})"

@@ -11,39 +11,26 @@ from lotline.functions import geometry as G
 SLACK = 1.0 + 1e-9
 
 
-# Squared distance of the point (x, y) and the edge from the origin along (dx, dy).
-_ALONG = (
-    "({x} - {t} * {dx}) * ({x} - {t} * {dx}) + ({y} - {t} * {dy}) * ({y} - {t} * {dy})",
-    "least(greatest(coalesce(({x} * {dx} + {y} * {dy}) / {len2}, 0D), 0D), 1D)",
-)
-
-
-def _along(x: str, y: str, side: str) -> str:
-    names = {"x": x, "y": y, "dx": f"{side}dx", "dy": f"{side}dy", "len2": f"{side}len2"}
-    gap2, t = _ALONG
-    return gap2.format(t=t.format(**names), **names)
-
-
-def _direction(side: str) -> list[str]:
-    """Direction of the edge on one side and its squared length (null when zero)."""
-    dx, dy = f"({side}x2 - {side}x1)", f"({side}y2 - {side}y1)"
-    return [
-        f"{dx} AS {side}dx",
-        f"{dy} AS {side}dy",
-        f"nullif({dx} * {dx} + {dy} * {dy}, 0D) AS {side}len2",
-    ]
-
-
-def _edge_gap2() -> str:
-    """Squared distance of the edges a and b.
-
-    w: start of b seen from start of a; u: end of b from start of a; v: end of a from start of b.
-    """
-    across_a = "(adx * wy - ady * wx) * (adx * uy - ady * ux) < 0"
-    across_b = "(bdx * wy - bdy * wx) * (bdy * vx - bdx * vy) < 0"
-    ends = [("wx", "wy", "a"), ("ux", "uy", "a"), ("-wx", "-wy", "b"), ("vx", "vy", "b")]
-    apart = ", ".join(_along(*end) for end in ends)
-    return f"CASE WHEN holds OR ({across_a} AND {across_b}) THEN 0D ELSE least({apart}) END"
+# For edges a and b: their directions, squared lengths (null when zero) and b's start seen from a's.
+_DIRECTIONS = [
+    "ax2 - ax1 AS adx", "ay2 - ay1 AS ady", "bx2 - bx1 AS bdx", "by2 - by1 AS bdy",
+    "nullif((ax2 - ax1) * (ax2 - ax1) + (ay2 - ay1) * (ay2 - ay1), 0D) AS alen2",
+    "nullif((bx2 - bx1) * (bx2 - bx1) + (by2 - by1) * (by2 - by1), 0D) AS blen2",
+    "bx1 - ax1 AS wx", "by1 - ay1 AS wy",
+]
+# Where along each edge the other's start is nearest, and on which side of it that start lies.
+_PLACES = [
+    "adx", "ady", "bdx", "bdy", "wx", "wy",
+    "coalesce(least(greatest((wx * adx + wy * ady) / alen2, 0D), 1D), 0D) AS at_a",
+    "coalesce(least(greatest(-(wx * bdx + wy * bdy) / blen2, 0D), 1D), 0D) AS at_b",
+    "adx * bdy - ady * bdx AS turn", "adx * wy - ady * wx AS side_a", "bdx * wy - bdy * wx AS side_b",
+]
+# The ways from there to those starts, and whether the edges cross.
+_WAYS = [
+    "wx - at_a * adx AS fx", "wy - at_a * ady AS fy", "wx + at_b * bdx AS gx", "wy + at_b * bdy AS gy",
+    "side_a * (side_a + turn) < 0 AND side_b * (side_b + turn) < 0 AS cross",
+]
+_EDGE_GAP2 = "CASE WHEN holds OR cross THEN 0D ELSE least(fx * fx + fy * fy, gx * gx + gy * gy) END"
 
 
 def _reach2(within: float | None) -> str:
@@ -78,7 +65,9 @@ def pair_distance(
     """Minimum distance of the shapes a and b for each key, optionally only up to ``within``.
 
     ``pairs`` has the shape columns of both sides, suffixed _a and _b. Both edge lists are
-    exploded, pairs of edges too far apart to matter dropped, and the minimum taken per key. The
+    exploded, pairs of edges too far apart to matter dropped, and the minimum taken per key. Edges
+    that do not cross are nearest at an end of one of them, and each end is the start of an edge of
+    its ring, so every edge compares starts only; an open ring ends in an edge of length zero. The
     rows of one pair come one after the other, so the map-side minimum keeps one row per pair.
     Where ``pairs`` is already partitioned on some of the keys, as after the grid join, the minimum
     needs no shuffle at all. A shape that holds a part of the other has distance zero whatever the
@@ -105,13 +94,9 @@ def pair_distance(
             "inline(edges_b) AS (bx1, by1, bx2, by2)",
         )
         .where(f"holds OR {near_edge} <= reach2")
-        .selectExpr(
-            *keys, "holds", *_direction("a"), *_direction("b"),
-            "bx1 - ax1 AS wx", "by1 - ay1 AS wy",
-        )
-        .selectExpr(
-            "*", "wx + bdx AS ux", "wy + bdy AS uy", "adx - wx AS vx", "ady - wy AS vy"
-        )
+        .selectExpr(*keys, "holds", *_DIRECTIONS)
+        .selectExpr(*keys, "holds", *_PLACES)
+        .selectExpr(*keys, "holds", *_WAYS)
     )
-    nearest = rows.groupBy(*keys).agg(F.expr(f"sqrt(min({_edge_gap2()}))").alias(name))
+    nearest = rows.groupBy(*keys).agg(F.expr(f"sqrt(min({_EDGE_GAP2}))").alias(name))
     return nearest if within is None else nearest.where(F.col(name) <= F.lit(float(within)))
