@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,16 +26,16 @@ from lotline.operators.distance import pair_distance  # noqa: E402
 from lotline.operators.overlay import with_touches, with_union, with_union_area  # noqa: E402
 from lotline.operators.within import pairs_within  # noqa: E402
 from lotline.plans import candidates as C, export, job, parcels as P  # noqa: E402
-from lotline.sources import assessments as A, geojson  # noqa: E402
+from lotline.sources import assessments as A, geojson, published  # noqa: E402
 from lotline.sources.staging import staged, staging_root  # noqa: E402
 
 # The operators for training text are an add-on: without them the other queries still work.
 try:
     import corpus_pipeline  # noqa: E402
     from lotline.llm import registry as llm  # noqa: E402
-except ModuleNotFoundError as missing:
-    if missing.name not in {"corpus_pipeline", "lotline.llm", "lotline.llm.registry"}:
-        raise
+except ImportError as missing:
+    if getattr(missing, "name", None) not in {"corpus_pipeline", "lotline.llm", "lotline.llm.registry"}:
+        warnings.warn(f"operators for training text are left out: {missing}", stacklevel=1)
     llm = None
 
 STAMP = "2026-01-01T00:00:00+00:00"
@@ -957,8 +958,8 @@ def q_cache_refresh(spark, sf_dir):
     return found.select("parcel_number", "market_value", "zoning")
 
 
-def q_full_job(spark, sf_dir):
-    """The whole job over features and assessments read from files."""
+def _job_over_files(spark, sf_dir) -> JobConfig:
+    """Run the whole job over features and assessments read from files."""
     lines, cache = folder(spark, "lines"), folder(spark, "cache")
     geojson.write_feature_lines(feature_lines(spark, sf_dir), lines)
     boxes = box_customers(spark, sf_dir)
@@ -978,7 +979,55 @@ def q_full_job(spark, sf_dir):
         lines, cache, folder(spark, "out"), source_layout="lines", source_crs="EPSG:2272", run_stamp=STAMP
     )
     job.run(spark, config)
-    return _plain(spark.read.parquet(f"{config.output_dir}/candidate_properties"))
+    return config
+
+
+def q_full_job(spark, sf_dir):
+    """The whole job over features and assessments read from files."""
+    config = _job_over_files(spark, sf_dir)
+    return _plain(published.read_table(spark, config.output_dir, "candidate_properties"))
+
+
+JOB_TABLES = [
+    "raw_properties", "opa_properties", "canonical_properties", "residential_properties",
+    "candidate_properties", "candidate_property_parcels",
+]
+
+
+def q_published_tables(spark, sf_dir):
+    """Rows of the six tables that a job publishes."""
+    config = _job_over_files(spark, sf_dir)
+    counts = None
+    for name in JOB_TABLES:
+        rows = published.read_table(spark, config.output_dir, name)
+        one = rows.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows"))
+        counts = one if counts is None else counts.union(one)
+    return counts
+
+
+def q_feature_document(spark, sf_dir):
+    """The map's features written as one document and read back in their order."""
+    path = f"{folder(spark, 'document')}.geojson"
+    text = staged(export.feature_text(shortlisted_features(spark, sf_dir)), "feature-text")
+    geojson.write_feature_collection(text, export.FEATURE_KEY, path)
+    found = geojson.read_features(spark, path)
+    ids = J.with_fields(found, "properties", ["candidate_id", "parcel_id"])
+    return ids.select("feature_pos", *[J.scalar_text(c).alias(c) for c in ("candidate_id", "parcel_id")])
+
+
+def q_assessments_empty(spark, sf_dir):
+    """All customers against the typed table of an empty cache."""
+    none = A.assessments(A.read_cached_records(spark, folder(spark, "empty-cache")))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("parcel_number"))
+    return customers.join(none, "parcel_number", "left").select("parcel_number", "zoning", "market_value", "raw_opa_json")
+
+
+def q_run_stamp(spark, sf_dir):
+    """Candidates of a run with the default stamp: UTC, ISO-8601, seconds."""
+    rows = C.hyphen_candidates(residential(spark, sf_dir), JobConfig("", "", "").run_stamp)
+    stamped = F.col("created_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00$")
+    recent = F.abs(F.unix_timestamp(F.to_timestamp("created_at")) - F.unix_timestamp()) < 3600
+    return rows.select("candidate_id", stamped.alias("stamped"), recent.alias("recent"))
 
 
 def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
@@ -1227,6 +1276,18 @@ def oracle_sql() -> dict[str, str]:
                      AS market_value,
                    max_by(o_orderstatus, o_orderkey) AS zoning FROM orders WHERE o_custkey <> 0 GROUP BY o_custkey""",
         "full_job": BOXES + f"SELECT {PLAIN_SQL} FROM cand",
+        "published_tables": BOXES + " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS rows FROM {source}"
+            for name, source in zip(JOB_TABLES, ["boxes", "boxes", "boxes", "res", "cand", "members"])
+        ),
+        "feature_document": BOXES + """
+            SELECT CAST(row_number() OVER (ORDER BY candidate_type, human_id, parcel_order, candidate_id, parcel_id) - 1
+                     AS INTEGER) AS feature_pos, candidate_id, parcel_id FROM feats""",
+        "assessments_empty": """
+            SELECT CAST(c_custkey AS VARCHAR) AS parcel_number, CAST(NULL AS VARCHAR) AS zoning,
+                   CAST(NULL AS DOUBLE) AS market_value, CAST(NULL AS VARCHAR) AS raw_opa_json FROM customer""",
+        "run_stamp": BOXES
+        + "SELECT candidate_id, true AS stamped, true AS recent FROM cand WHERE candidate_type = 'hyphen_address'",
         "enrichment_batches": PLAN_SQL + "SELECT * FROM plan",
         "enrichment_missing": PLAN_SQL
         + "SELECT batch_index, file_name FROM plan WHERE batch_index % 2 > 0",
