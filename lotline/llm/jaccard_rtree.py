@@ -7,19 +7,19 @@ node. The others are found exactly, in these steps:
 1. Routing. Linked sets share one of the first n - ceil(0.8 n) + 1 shingles of each in any common
    order. The order is by how common a shingle is (a sketch of fixed size, counted over all
    documents), so routes are mostly shingles that few documents have. Nodes on one route are a
-   block; blocks of a single node go.
-2. Contraction. In each block, the first few nodes are compared with the others, one after the
-   other, and components are made of the links found. A group of near copies becomes one class here,
-   at a few comparisons per member.
-3. R-tree join. Of the blocks that still hold several classes, the shingles of each node are hashed
-   into groups and the group counts indexed as points. The overlap of two sets is at most the sum
-   of the smaller counts; of two tree nodes, of their upper corners. A pair of tree nodes is dropped
-   where that is less than a link needs, where sizes do not fit, or where all is one class already.
-   Surviving pairs are verified on the sets themselves. Components of all links are the result.
-
-Step 3 compares all pairs of different classes of a block that the bound does not exclude, so no
-link is lost; pairs within a class need none. A block beyond ``CELL`` nodes is cut into cells that
-are joined two by two, so no task holds an unbounded block.
+   block; blocks of a single node go, and of blocks with the same nodes one stays.
+2. Candidates. The shingles of a node are hashed into groups; its group counts are its point. In each
+   block an R-tree over the points answers, for one node after the other, which nodes not reached
+   yet may link: the overlap of two sets is at most the sum of the smaller counts, that of a set and
+   all below a tree node at most the sum with its upper corner, and sizes must fit. Reached nodes
+   are searched from in turn, so a block gives a spanning set of its candidate pairs, and the
+   components of these are families.
+3. Links. Each family is searched in the same way, now with an R-tree over finer counts, and what it
+   leaves is verified on the sets themselves. Components of these links are the result.
+
+Nodes of different families cannot link, and within a family no pair of different components stays
+unlinked that is a link, so none is lost. Blocks and families beyond a cell are dealt to cells and
+then searched cell against cell (see cells.py), so no task holds an unbounded one.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotline.llm.cells import links_within
 from lotline.llm.common import worker_store
 from lotline.llm.components import components
 from lotline.sources.staging import staged, staging_run
@@ -46,14 +47,11 @@ PERCENT = 80
 #: Cells of the sketch of shingle frequencies; its size does not grow with the data.
 SKETCH_BITS = 18
 SKETCH_SLICES = 16
-#: Bits of the map of documents whose sets are wanted; its size does not grow with the data.
-WANTED_BITS = 22
-#: First nodes of a block that the others are compared with before the trees are built.
-LEADS = 4
-#: Groups of the count vectors, entries of a leaf, and nodes that one task joins.
-GROUPS = 128
-LEAF = 32
-CELL = 8192
+#: Groups of the points, and of those in a family; entries of a tree node.
+GROUPS, FINE_GROUPS = 128, 1024
+LEAF = 16
+#: Nodes of a cell of a block and of a family.
+CELL, FAMILY_CELL = 4096, 1024
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -237,345 +235,127 @@ def _routes(shared):
     return run
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (route, node) to those of routes with several nodes, with the first of them.
-
-    Of the route in progress the first ``LEADS`` nodes and the last one are held, nothing else,
-    however many rows it has. A first node goes out when a second one shows up.
-    """
-    route = last = None
-    lead_nodes = lead_sizes = np.zeros(0, np.int64)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, node, n = (batch.column(c).to_numpy() for c in ("route", "node", "n"))
-        fresh = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
-        if key[0] == route and node[0] == last:
-            fresh[0] = False
-        key, node, n = key[fresh], node[fresh], n[fresh]
-        if not len(key):
-            continue
-        held = len(lead_nodes) if key[0] == route else 0
-        if held:  # the nodes held stand before this batch's
-            key = np.concatenate([np.full(held, route), key])
-            node, n = np.concatenate([lead_nodes, node]), np.concatenate([lead_sizes, n])
-        begins = np.append(True, key[1:] != key[:-1])
-        begin = np.flatnonzero(begins)
-        block = np.cumsum(begins) - 1
-        size = np.diff(np.append(begin, len(key)))
-        out = size[block] > 1
-        if held > 1:  # they went out before
-            out[:held] = False
-        first, count = begin[block][out], np.minimum(LEADS, size)[block][out]
-        ends = np.cumsum(count)
-        place = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(ends - count, count)
-        route, last = key[-1], node[-1]
-        lead_nodes = node[begin[-1] : begin[-1] + LEADS]
-        lead_sizes = n[begin[-1] : begin[-1] + LEADS]
-        leads = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(node[place]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[out]), pa.array(node[out]), pa.array(n[out]), leads], names=["route", "node", "n", "leads"]
-        )
-
-
 def blocks_of(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """Route, node and size of the nodes of every block, and the block's first nodes."""
+    """(group, node) of every block: a route with several nodes, one route of those with the same nodes."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
-    routes = docs.select("text").mapInArrow(_routes(shared), "route long, node long, n long")
-    return (
-        routes.repartition("route")
-        .sortWithinPartitions("route", "node")
-        .mapInArrow(_blocks, "route long, node long, n long, leads array<long>")
+    found = docs.select("text").mapInArrow(_routes(shared), "route long, node long, n long").distinct()
+    # Counts before the join are combined per task, so a hot route sends one row from each.
+    marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    sizes = (
+        found.groupBy("route")
+        .agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.max("node").alias("high"), *marks)
+        .where("size > 1")
     )
+    one = sizes.groupBy("size", "low", "high", "mark0", "mark1").agg(F.min("route").alias("route"))
+    return found.join(one.select("route"), "route").select(F.col("route").alias("group"), "node")
 
 
-# --- sets and verification -----------------------------------------------------------------------
+# --- the R-tree ----------------------------------------------------------------------------------
 
 
-def group_counts(shingles: np.ndarray) -> np.ndarray:
-    """The count vector of a set: its shingles hashed into groups."""
-    groups = (mixed(shingles) >> np.uint64(40)) % np.uint64(GROUPS)
-    return np.bincount(groups.astype(np.int64), minlength=GROUPS).astype(np.int32)
+def group_counts(shingles: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """The point of a set: its shingles hashed into groups and counted, up to 255."""
+    at = (mixed(shingles) >> np.uint64(40)) % np.uint64(groups)
+    return np.minimum(np.bincount(at.astype(np.int64), minlength=groups), 255).astype(np.uint8)
 
 
-def wanted_map(wanted: DataFrame) -> np.ndarray:
-    """A bit for each wanted (node, doc_id), in a map of fixed size.
+class RTree:
+    """Bulk-loaded tree over points; nodes keep the upper corner and the range of sizes.
 
-    It keeps sets that nobody asks for out of the shuffle. Where very many are wanted it lets more
-    through, which costs space but changes nothing.
+    What a point leaves out of a set, as counts end at 255, is its excess; it counts as shared as
+    far as both sets have any.
     """
-    doc_id = F.coalesce("doc_id", F.lit(0).cast("long"))
-    key = F.col("node").bitwiseXOR(doc_id).bitwiseXOR(F.shiftleft(doc_id, 20))
-    bit = key.bitwiseAND(F.lit((1 << WANTED_BITS) - 1))
-    words = wanted.select(bit.alias("bit")).selectExpr(
-        "shiftright(bit, 5) AS word", "shiftleft(1L, CAST(bit & 31 AS INT)) AS mask"
-    )
-    bits = np.zeros(1 << (WANTED_BITS - 5), np.uint32)
-    for r in words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
-        bits[r["word"]] = r["mask"]
-    return bits
-
-
-def _sets(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, seen, bits = shingler(), set(), shared.value
-        for batch in batches:
-            texts, doc_ids, nodes, sets = batch.column("text").cast(pa.binary()), batch.column("doc_id").to_pylist(), [], []
-            for i in range(batch.num_rows):
-                words = make.words(texts[i].as_py())
-                if not words:
-                    continue
-                node, doc_id = name_of(words)[0], doc_ids[i] or 0
-                bit = (node ^ doc_id ^ (doc_id << 20)) & ((1 << WANTED_BITS) - 1)
-                if int(bits[bit >> 5]) >> (bit & 31) & 1 and node not in seen:
-                    if len(seen) > 500_000:
-                        seen.clear()
-                    seen.add(node)
-                    nodes.append(node)
-                    sets.append(make.set_of(words).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "shingles"]
-            )
 
-    return run
-
-
-def sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, label: str) -> DataFrame:
-    """The shingle sets of the nodes in ``pairs`` (a, b), read from the first document of each."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = asked.join(nodes, "node").select("node", F.col("lead.doc_id").alias("doc_id"))
-    shared = docs.sparkSession.sparkContext.broadcast(wanted_map(wanted))
-    return staged(docs.select("doc_id", "text").mapInArrow(_sets(shared), "node long, shingles binary"), label)
-
-
-def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose points allow a link."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        a, b = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int32).reshape(-1, GROUPS)
-            for c in ("point_a", "point_b")
-        )
-        keep = np.minimum(a, b).sum(axis=1) >= needed(a.sum(axis=1), b.sum(axis=1))
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-            a, b = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-            both = np.concatenate([a, b])
-            both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * shared >= PERCENT * (len(a) + len(b) - shared))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def _with(pairs: DataFrame, sets: DataFrame, column: str, side: str, name: str) -> DataFrame:
-    return pairs.join(sets.select(F.col("node").alias(side), F.col(column).alias(name)), side)
+    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+        self.points, self.sizes = points, sizes.astype(np.int64)
+        self.excess = self.sizes - points.sum(axis=1, dtype=np.int64)
+        runs = self._arranged(np.arange(len(points)))
+        self.order = np.concatenate(runs)
+        starts = np.cumsum([0, *map(len, runs[:-1])])
+        stops = np.append(starts[1:], len(points))
+        upper, excess = points[self.order], self.excess[self.order]
+        least = most = self.sizes[self.order]
+        #: From the leaves up: bounds of each node, and the range of its members a level below.
+        self.levels = []
+        while True:
+            upper, excess = np.maximum.reduceat(upper, starts, axis=0), np.maximum.reduceat(excess, starts)
+            least, most = np.minimum.reduceat(least, starts), np.maximum.reduceat(most, starts)
+            self.levels.append((upper, excess, least, most, starts, stops))
+            if len(starts) == 1:
+                break
+            starts = np.arange(0, len(upper), LEAF)
+            stops = np.append(starts[1:], len(upper))
+
+    def _arranged(self, rows: np.ndarray) -> list[np.ndarray]:
+        """Leaves: split at the median of the size while sizes differ much, else of the widest group."""
+        if len(rows) <= LEAF:
+            return [rows]
+        sizes, points = self.sizes[rows], self.points[rows]
+        by = sizes if 100 * sizes.min() < PERCENT * sizes.max() else points[:, np.argmax(np.ptp(points, axis=0))]
+        order = rows[np.argsort(by, kind="stable")]
+        half = len(order) // 2
+        return [*self._arranged(order[:half]), *self._arranged(order[half:])]
 
+    def _fits(self, i: int, upper, excess, least, most) -> np.ndarray:
+        n = self.sizes[i]
+        bound = np.minimum(upper, self.points[i]).sum(axis=1, dtype=np.int64) + np.minimum(excess, self.excess[i])
+        return (bound >= needed(n, least)) & (100 * most >= PERCENT * n) & (100 * n >= PERCENT * least)
 
-def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose points allow a link."""
-    both = _with(_with(pairs, nodes, "point", "a", "point_a"), nodes, "point", "b", "point_b")
-    return both.select("a", "b", "point_a", "point_b").mapInArrow(_bounded, "a long, b long")
+    def near(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Which of ``others`` the bounds allow to link with entry i."""
+        open_nodes = np.zeros(1, np.int64)
+        for upper, excess, least, most, starts, stops in reversed(self.levels):
+            kept = open_nodes[self._fits(i, upper[open_nodes], excess[open_nodes], least[open_nodes], most[open_nodes])]
+            below = [np.arange(starts[k], stops[k]) for k in kept.tolist()]
+            open_nodes = np.concatenate(below) if below else np.zeros(0, np.int64)
+        rows = self.order[open_nodes]
+        rows = rows[self._fits(i, self.points[rows], self.excess[rows], self.sizes[rows], self.sizes[rows])]
+        found = np.zeros(len(self.points), bool)
+        found[rows] = True
+        return found[others]
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link."""
-    both = _with(_with(pairs, sets, "shingles", "a", "set_a"), sets, "shingles", "b", "set_b")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(_verified, "a long, b long")
+# --- comparisons in a cell -----------------------------------------------------------------------
 
 
-# --- the R-tree ----------------------------------------------------------------------------------
+def may_link(table: pa.Table):
+    """Pairs of a block that an R-tree over their points does not exclude."""
+    points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
+    return RTree(points, table.column("n").to_numpy()).near
 
 
-class RTree:
-    """Bulk-loaded tree over points; nodes keep the upper corner, the size range and the class."""
-
-    def __init__(self, points: np.ndarray, labels: np.ndarray):
-        self.points, self.labels = points, labels
-        self.sizes = points.sum(axis=1)
-        self.left: list[int] = []
-        self.right: list[int] = []
-        self.members: list[np.ndarray | None] = []
-        self.upper: list[np.ndarray] = []
-        self.least: list[int] = []
-        self.most: list[int] = []
-        self.only: list[int | None] = []
-        self._build(np.arange(len(points)))
-
-    def _build(self, rows: np.ndarray) -> int:
-        """Split at the median of the size while sizes differ much, else of the widest group."""
-        own = len(self.members)
-        points, labels = self.points[rows], self.labels[rows]
-        self.members.append(None)
-        self.left.append(-1)
-        self.right.append(-1)
-        self.upper.append(points.max(axis=0))
-        self.least.append(int(self.sizes[rows].min()))
-        self.most.append(int(self.sizes[rows].max()))
-        self.only.append(int(labels[0]) if (labels == labels[0]).all() else None)
-        if len(rows) <= LEAF:
-            self.members[own] = rows
-            return own
-        sizes = self.sizes[rows]
-        if 100 * sizes.min() < PERCENT * sizes.max():
-            by = sizes
-        else:
-            by = points[:, np.argmax(np.ptp(points, axis=0))]
-        order = rows[np.argsort(by, kind="stable")]
-        half = len(order) // 2
-        left = self._build(order[:half])
-        right = self._build(order[half:])
-        self.left[own], self.right[own] = left, right
-        return own
-
-    def _apart(self, i: int, other: RTree, j: int) -> bool:
-        if self.only[i] is not None and self.only[i] == other.only[j]:
-            return True
-        if 100 * self.most[i] < PERCENT * other.least[j] or 100 * other.most[j] < PERCENT * self.least[i]:
-            return True
-        bound = np.minimum(self.upper[i], other.upper[j]).sum()
-        return bound < needed(self.least[i], other.least[j])
-
-    def join(self, other: RTree) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Rows of this tree and of ``other`` (may be itself) of different classes that may link."""
-        same, stack = self is other, [(0, 0)]
-        while stack:
-            i, j = stack.pop()
-            if self._apart(i, other, j):
-                continue
-            a, b = self.members[i], other.members[j]
-            if a is not None and b is not None:
-                overlap = np.minimum(self.points[a][:, None], other.points[b][None]).sum(axis=2)
-                fits = overlap >= needed(self.sizes[a][:, None], other.sizes[b][None])
-                fits &= self.labels[a][:, None] != other.labels[b][None]
-                x, y = np.nonzero(fits)
-                yield a[x], b[y]
-            elif same and i == j:
-                stack += [(self.left[i], self.left[i]), (self.left[i], self.right[i]), (self.right[i], self.right[i])]
-            elif b is not None or (a is None and width_of(self, i) >= width_of(other, j)):
-                stack += [(self.left[i], j), (self.right[i], j)]
-            else:
-                stack += [(i, other.left[j]), (i, other.right[j])]
-
-
-def width_of(tree: RTree, i: int) -> int:
-    """How wide a tree node is, to descend into the wider one."""
-    return tree.most[i] - tree.least[i]
-
-
-def _join_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of blocks sorted by (route, low, high), one block at a time."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        names = ["route", "low", "high"]
-        keys = np.stack([batch.column(c).to_numpy() for c in names], axis=1)
-        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        if held:
-            last = [held[-1].column(c)[-1].as_py() for c in names]
-            if last != keys[0].tolist():
-                yield from _pairs_of(held)
-                held = []
-        # The last block may go on in the next batch.
-        end = int(cuts[-1]) if len(cuts) else 0
-        if end:
-            yield from _pairs_of([*held, batch.slice(0, end)])
-            held = []
-        held.append(batch.slice(end))
-    if held:
-        yield from _pairs_of(held)
-
-
-def _pairs_of(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(batches)
-    keys = np.stack([table.column(c).to_numpy() for c in ("route", "low", "high")], axis=1)
-    node, label, part = (table.column(c).to_numpy() for c in ("node", "label", "part"))
-    points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.int32).reshape(-1, GROUPS)
-    sizes = points.sum(axis=1)
-    begin = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
-    length = np.diff(np.append(begin, len(node)))
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    # A block of one leaf needs no tree: its pairs are compared at all such blocks together.
-    small = np.repeat(length <= LEAF, length)
-    block = np.repeat(np.arange(len(begin)), length)
-    for step in range(1, LEAF):
-        i = np.flatnonzero(small[:-step] & (block[:-step] == block[step:])) if len(node) > step else []
-        if not len(i):
-            break
-        j = i + step
-        cross = (keys[i, 1] == keys[i, 2]) | (part[i] != part[j])
-        i, j = (x[cross & (label[i] != label[j])] for x in (i, j))
-        fits = np.minimum(points[i], points[j]).sum(axis=1) >= needed(sizes[i], sizes[j])
-        found.append((node[i[fits]], node[j[fits]]))
-    for b in np.flatnonzero(length > LEAF):
-        rows = np.arange(begin[b], begin[b] + length[b])
-        if keys[rows[0], 1] == keys[rows[0], 2]:
-            tree = RTree(points[rows], label[rows])
-            found += [(node[rows[x]], node[rows[y]]) for x, y in tree.join(tree)]
-        else:
-            sides = [rows[part[rows] == keys[rows[0], k]] for k in (1, 2)]
-            if len(sides[0]) and len(sides[1]):
-                trees = [RTree(points[s], label[s]) for s in sides]
-                found += [(node[sides[0][x]], node[sides[1][y]]) for x, y in trees[0].join(trees[1])]
-    if found:
-        a, b = (np.concatenate(x) for x in zip(*found))
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        for at in range(0, pairs.shape[1], 100_000):
-            part_of = pairs[:, at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part_of[0]), pa.array(part_of[1])], names=["a", "b"])
-
-
-def tree_pairs(blocks: DataFrame, labels: DataFrame, nodes: DataFrame, cell: int) -> DataFrame:
-    """Pairs of different classes in one block that the R-trees do not exclude."""
-    marked = staged(
-        blocks.select("route", "node")
-        .join(labels, "node", "left")
-        .select("route", "node", F.coalesce("label", "node").alias("label")),
-        "marked",
-    )
-    mixed_blocks = (
-        marked.groupBy("route")
-        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"))
-        .where("lo <> hi")
-        .select("route", F.ceil(F.col("size") / cell).alias("parts"))
-    )
-    part = F.pmod(F.xxhash64("node"), F.col("parts"))
-    cells = (
-        marked.join(mixed_blocks, "route")
-        .select("route", "node", "label", part.alias("part"), "parts")
-        .join(nodes.select("node", "point"), "node")
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
-        .select(
-            "route",
-            F.least("part", "other").alias("low"),
-            F.greatest("part", "other").alias("high"),
-            "node",
-            "label",
-            "part",
-            "point",
-        )
-    )
-    return (
-        cells.repartition("route", "low", "high")
-        .sortWithinPartitions("route", "low", "high")
-        .mapInArrow(_join_blocks, "a long, b long")
-        .distinct()
-    )
+def linked(table: pa.Table):
+    """Links of a family: what an R-tree over finer points leaves, verified on the full sets."""
+    make = shingler()
+    sets = [make.set_of(make.words(body.as_buffer().to_pybytes())) for body in table.column("body")]
+    sizes = np.array([len(s) for s in sets])
+    tree = RTree(np.stack([group_counts(s, FINE_GROUPS) for s in sets]), sizes)
+    _, local = np.unique(np.concatenate(sets), return_inverse=True)
+    local = np.split(local, np.cumsum(sizes)[:-1])
+    mark = np.zeros(1 + max(int(x.max()) for x in local), np.int32)
+
+    def near(i: int, others: np.ndarray) -> np.ndarray:
+        ok = tree.near(i, others)
+        at = np.flatnonzero(ok)
+        if len(at):
+            chosen = [local[j] for j in others[at]]
+            mark[local[i]] = 1
+            shared = np.add.reduceat(mark[np.concatenate(chosen)], np.cumsum([0, *map(len, chosen[:-1])]))
+            mark[local[i]] = 0
+            ok[at] = 100 * shared >= PERCENT * (sizes[i] + sizes[others[at]] - shared)
+        return ok
+
+    return near
 
 
 # --- all together --------------------------------------------------------------------------------
 
 
-def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
+def near_duplicates(docs: DataFrame, cell: int = CELL, family_cell: int = FAMILY_CELL) -> DataFrame:
     """``docs`` (row, doc_id, text) with n_shingles and component_id, one row per row.
 
-    ``row`` must be unique. Words are split at ASCII white space after lower-casing A-Z. A text
+    ``row`` must be unique and stay the same when read again; other columns are left out, whatever
+    their names. Texts are read whole, however long. Words are split at ASCII white space after lower-casing A-Z. A text
     with fewer than five words is one shingle; one without words, or null, has none and is linked
     with nothing, so its component is its own doc_id. component_id is the smallest doc_id that
     links reach; null doc_ids count only where a component has no other. Repeated rows are in one
@@ -594,13 +374,14 @@ def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
             F.min("check").alias("c0"),
             F.max("check").alias("c1"),
             F.min("point").alias("point"),
+            F.min("n_shingles").alias("n"),
         ),
         "nodes",
     )
     if not nodes.where("c0 <> c1").isEmpty():
         raise ValueError("two word sequences have one 64-bit name")
     with staging_run(docs.sparkSession):
-        labels = staged(_labels(docs, first, nodes, cell), "labels", lasting=True)
+        labels = staged(_labels(docs, first, nodes, cell, family_cell), "labels", lasting=True)
 
     placed = nodes.join(labels, "node", "left").select(
         "node", F.coalesce("label", "node").alias("label"), "lead"
@@ -617,44 +398,14 @@ def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
     )
 
 
-def _labels(docs: DataFrame, first: DataFrame, nodes: DataFrame, cell: int) -> DataFrame:
+def _labels(docs: DataFrame, first: DataFrame, nodes: DataFrame, cell: int, family_cell: int) -> DataFrame:
     """The component (node, label) of each node that links to another."""
     blocks = staged(blocks_of(docs, sketch_of(first)), "blocks")
-    classes = contracted(docs, blocks, nodes)
-    more = staged(tree_pairs(blocks, classes, nodes, cell), "tree-pairs")
-    found = staged(verified(more, sets_of(docs, more, nodes, "tree-sets")), "tree-links")
-    if found.isEmpty():
-        return classes
-    joined = classes.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found)
-    return components(joined)
-
-
-def contracted(docs: DataFrame, blocks: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Classes (node, label) from the links between each block's first nodes and the others.
-
-    One round for each of the first nodes; a round leaves out what is one class already. Nodes are
-    in the order of their names, so blocks of the same near copies have the same first nodes.
-    """
-    spread = blocks.select(F.posexplode("leads").alias("turn", "a"), F.col("node").alias("b"))
-    stars = spread.where("a < b").groupBy("a", "b").agg(F.min("turn").alias("turn"))
-    fits = bounded(stars.select("a", "b"), nodes)
-    stars = staged(fits.join(stars, ["a", "b"]), "stars")
-    sets = sets_of(docs, stars, nodes, "star-sets")
-    none = docs.sparkSession.createDataFrame([], "node long, label long")
-    classes = none
-    for turn in range(LEADS):
-        todo = stars.where(F.col("turn") == turn).select("a", "b")
-        if turn:
-            for side in ("a", "b"):
-                label = classes.select(F.col("node").alias(side), F.col("label").alias(f"class_{side}"))
-                todo = todo.join(label, side, "left")
-            todo = todo.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("a", "b")
-        todo = staged(todo, "star-round")
-        if todo.isEmpty():
-            continue
-        edges = classes.select(F.col("node").alias("a"), F.col("label").alias("b")).union(verified(todo, sets))
-        classes = staged(components(staged(edges, "links")), "classes")
-    return classes
+    families = staged(components(links_within(blocks, nodes.select("node", "point", "n"), may_link, cell, "block")), "families")
+    places = families.select("node").join(nodes.select("node", F.col("lead.row").alias("row")), "node")
+    bodies = places.join(docs.select("row", F.col("text").cast("binary").alias("body")), "row").select("node", "body")
+    members = families.select(F.col("label").alias("group"), "node")
+    return components(links_within(members, bodies, linked, family_cell, "family"))
 
 
 def with_rows(docs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from lotline.llm import jaccard_rtree as J, radix_dedup as R, suffix_arrays as S
 from lotline.llm.components import components
+from lotline.sources.staging import staged
 from .conftest import WORDS, lowered, sha
 
 
@@ -220,7 +221,8 @@ def brute_near(rows):
 
 
 def near(df, **more):
-    return J.near_duplicates(df.withColumn("row", F.monotonically_increasing_id()), **more)
+    numbered = staged(df.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    return J.near_duplicates(numbered, **more)
 
 
 def test_near_duplicates(docs):
@@ -245,32 +247,39 @@ def chained_families(rng, families, members):
     return texts
 
 
-@pytest.mark.parametrize("cell, leaf", [(8192, 32), (5, 4), (30, 2)])
+@pytest.mark.parametrize("cell, leaf", [(4096, 16), (5, 2), (30, 4)])
 def test_trees_and_cells(spark, monkeypatch, cell, leaf):
     monkeypatch.setattr(J, "LEAF", leaf)
     rng = random.Random(4)
     rows = list(enumerate(chained_families(rng, 6, 20)))
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    found = near(df, cell=cell).collect()
+    found = near(df, cell=cell, family_cell=cell).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_near(rows)
 
 
-def test_tree_join_misses_no_pair():
+@pytest.mark.parametrize("scale", [1, 90])
+def test_tree_misses_no_pair(scale):
     rng = np.random.default_rng(1)
-    points = rng.poisson(rng.choice([1, 2, 6], 300)[:, None], (300, J.GROUPS)).astype(np.int32)
-    points[150:] = np.maximum(0, points[:150] + rng.integers(-1, 2, (150, J.GROUPS)))
-    labels = rng.integers(0, 40, 300)
-    tree = J.RTree(points, labels)
-    found = {(min(a, b), max(a, b)) for x, y in tree.join(tree) for a, b in zip(x.tolist(), y.tolist())}
-    sizes = points.sum(axis=1)
-    wanted = {
-        (a, b)
-        for a in range(300)
-        for b in range(a + 1, 300)
-        if labels[a] != labels[b] and np.minimum(points[a], points[b]).sum() >= J.needed(sizes[a], sizes[b])
-    }
-    assert found == wanted
+    counts = scale * rng.poisson(rng.choice([1, 2, 6], 300)[:, None], (300, J.GROUPS))
+    counts[150:] = np.maximum(0, counts[:150] + rng.integers(-1, 2, (150, J.GROUPS)))
+    sizes = counts.sum(axis=1)
+    tree, everyone = J.RTree(np.minimum(counts, 255).astype(np.uint8), sizes), np.arange(300)
+    assert len(tree.levels) == 3
+    dropped = 0
+    for a in range(300):
+        allowed = np.minimum(counts, counts[a]).sum(axis=1) >= J.needed(sizes, sizes[a])
+        found = tree.near(a, everyone)
+        assert not (allowed & ~found).any()
+        dropped += (~found).sum()
+    assert dropped > 300 * 100
+
+
+def test_blocks_with_the_same_nodes_count_once(spark):
+    rows = [(0, "a b c d e f g h i j k l m n o p q r s t"), (1, "a b c d e f g h i j k l m n o p q r s u")]
+    df = spark.createDataFrame(rows * 3, "doc_id long, text string").withColumn("row", F.monotonically_increasing_id())
+    blocks = J.blocks_of(df, np.zeros(1 << J.SKETCH_BITS, np.int64)).collect()
+    assert len(blocks) == 2 and len({r.group for r in blocks}) == 1
 
 
 def test_one_of_each_keeps_columns(spark, no_docs):
