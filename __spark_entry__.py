@@ -611,6 +611,25 @@ def _rotated_union(pairs: DataFrame) -> DataFrame:
     )
 
 
+def dense(pairs: DataFrame, steps: int) -> DataFrame:
+    """Both boxes with each side cut into ``steps`` edges."""
+
+    def cut(name: str) -> F.Column:
+        between = ", ".join(f"'{c}', p.{c} + (ring[k + 1].{c} - p.{c}) * i / {steps}D" for c in ("x", "y"))
+        ring = f"""concat(flatten(transform(slice(ring, 1, size(ring) - 1), (p, k) ->
+                     transform(sequence(0, {steps - 1}), i -> named_struct({between})))), slice(ring, -1, 1))"""
+        return F.expr(
+            f"named_struct('kind', {name}.kind, 'parts', transform({name}.parts, part -> transform(part, ring -> {ring})))"
+        )
+
+    return pairs.withColumns({name: cut(name) for name in ("geom_a", "geom_b")})
+
+
+def q_union_many_vertices(spark, sf_dir):
+    """Touching and overlapping neighbours of 400 vertices each, turned."""
+    return _rotated_union(dense(meeting(spark, sf_dir), 100))
+
+
 def q_union_area(spark, sf_dir):
     joined = with_union_area(meeting(spark, sf_dir), "pair_distance")
     return joined.select("id_a", "id_b", F.round("union_area", 3).alias("union_area"))
