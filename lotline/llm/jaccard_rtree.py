@@ -7,7 +7,9 @@ node. The others are found exactly, in these steps:
 1. Routing. Linked sets share one of the first n - ceil(0.8 n) + 1 shingles of each in any common
    order. The order is by how common a shingle is (a sketch of fixed size, counted over all
    documents), so routes are mostly shingles that few documents have. Nodes on one route are a
-   block; blocks of a single node go, and of blocks with the same nodes one stays.
+   block; blocks of a single node go, and of blocks with the same nodes one stays. Most routes are
+   a single node's, so they travel as packed arrays, sorted and compared in numpy, and only those
+   of several nodes become rows. What a task finds shared it sends on once, however often it occurs.
 2. Candidates. The shingles of a node are hashed into groups; its group counts are its point. In each
    block an R-tree over the points answers, for one node after the other, which nodes not reached
    yet may link: the overlap of two sets is at most the sum of the smaller counts, that of a set and
@@ -52,6 +54,10 @@ GROUPS, FINE_GROUPS = 128, 1024
 LEAF = 16
 #: Nodes of a cell of a block and of a family.
 CELL, FAMILY_CELL = 4096, 1024
+#: Routes that a task holds before it sends them on, and about how many it receives.
+HELD_ROUTES, TASK_ROUTES = 1 << 20, 1 << 20
+#: Slices of the routes for each receiving task, so that tasks get about equal shares.
+TASK_SLICES = 8
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -93,7 +99,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def name_of(words: list[bytes]) -> tuple[int, int]:
-    """Two 64-bit numbers of a word sequence: the node, and one that tells a clash of nodes."""
+    """Two 64-bit numbers of a word sequence, which together name it."""
     digest = blake2b(b" ".join(words), digest_size=16).digest()
     return tuple(int.from_bytes(digest[i : i + 8], "little", signed=True) for i in (0, 8))
 
@@ -119,13 +125,13 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
     waiting, held = [], 0
     for batch in batches:
-        texts, sizes, nodes, checks, points = batch.column("text").cast(pa.binary()), [], [], [], []
+        texts, sizes, names, checks, points = batch.column("text").cast(pa.binary()), [], [], [], []
         for i in range(batch.num_rows):
             words = make.words(texts[i].as_py())
             shingles = make.set_of(words)
-            node, check = name_of(words) if words else (None, None)
+            name, check = name_of(words) if words else (None, None)
             sizes.append(len(shingles))
-            nodes.append(node)
+            names.append(name)
             checks.append(check)
             points.append(group_counts(shingles).tobytes() if words else None)
             waiting.append(shingles)
@@ -133,7 +139,7 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held > 1 << 20:
                 sketch += cell_counts(waiting)
                 waiting, held = [], 0
-        yield _pass_rows(batch.column("row"), batch.column("doc_id"), sizes, nodes, checks, points, None, None)
+        yield _pass_rows(batch.column("row"), batch.column("doc_id"), sizes, names, checks, points, None, None)
     sketch += cell_counts(waiting)
     if sketch.any():
         parts = [p.tobytes() for p in np.split(sketch, SKETCH_SLICES)]
@@ -149,24 +155,24 @@ def cell_counts(sets: list[np.ndarray]) -> np.ndarray:
     return np.bincount(cells.astype(np.int64), minlength=1 << SKETCH_BITS)
 
 
-def _pass_rows(row, doc_id, sizes, nodes, checks, points, slices, parts) -> pa.RecordBatch:
+def _pass_rows(row, doc_id, sizes, names, checks, points, slices, parts) -> pa.RecordBatch:
     n = len(sizes)
     columns = [
         pa.array(row, pa.int64()) if isinstance(row, list) else row,
         pa.array(doc_id, pa.int64()) if isinstance(doc_id, list) else doc_id,
         pa.array(sizes, pa.int64()),
-        pa.array(nodes, pa.int64()),
+        pa.array(names, pa.int64()),
         pa.array(checks, pa.int64()),
         pa.array(points, pa.binary()),
         pa.array(slices or [None] * n, pa.int32()),
         pa.array(parts or [None] * n, pa.binary()),
     ]
-    names = ["row", "doc_id", "n_shingles", "node", "check", "point", "slice", "part"]
+    names = ["row", "doc_id", "n_shingles", "name", "check", "point", "slice", "part"]
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 PASS_ROWS = (
-    "row long, doc_id long, n_shingles long, node long, check long, point binary, slice int, part binary"
+    "row long, doc_id long, n_shingles long, name long, check long, point binary, slice int, part binary"
 )
 
 
@@ -203,51 +209,106 @@ def route(shingles: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     return shingles[order]
 
 
-def _routes(shared):
+def shared_routes(routes: np.ndarray, names: np.ndarray, known: np.ndarray):
+    """Distinct entries sorted by (route, name), and which routes have several names or are known."""
+    order = np.lexsort((~known, names, routes))
+    routes, names, known = routes[order], names[order], known[order]
+    first = np.ones(len(routes), bool)
+    first[1:] = (routes[1:] != routes[:-1]) | (names[1:] != names[:-1])
+    routes, names, known = routes[first], names[first], known[first]
+    starts = np.flatnonzero(np.append(True, routes[1:] != routes[:-1])[: len(routes)])
+    counts = np.diff(np.append(starts, len(routes)))
+    several = (counts > 1) | (np.logical_or.reduceat(known, starts) if len(starts) else np.zeros(0, bool))
+    return routes, names, known, starts, np.repeat(several, counts)
+
+
+def _route_rows(slices, bodies, groups, names) -> pa.RecordBatch:
+    """Packed routes of some slices, and members (group, name) of shared routes, spread by name."""
+    packed, plain = len(slices), len(groups)
+    columns = [
+        pa.array([*slices, *(names & 0x7FFF).tolist()], pa.int32()),
+        pa.array([*bodies, *[None] * plain], pa.binary()),
+        pa.array([*[None] * packed, *groups.tolist()], pa.int64()),
+        pa.array([*[None] * packed, *names.tolist()], pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["slice", "body", "group", "name"])
+
+
+def _sent(routes: np.ndarray, names: np.ndarray, slices: int) -> pa.RecordBatch:
+    """What a task sends of its routes: members of those it knows as shared, and each route once."""
+    routes, names, _, starts, several = shared_routes(routes, names, np.zeros(len(routes), bool))
+    members = routes[several], names[several]
+    routes, names, several = routes[starts], names[starts], several[starts]
+    at = (mixed(routes.view(np.uint64)) >> np.uint64(20)) % np.uint64(slices)
+    order = np.argsort(at, kind="stable")
+    entries = np.stack([routes, names, several.astype(np.int64)], axis=1)[order]
+    found, cuts = np.unique(at[order], return_index=True)
+    bodies = [part.tobytes() for part in np.split(entries, cuts[1:])] if len(found) else []
+    return _route_rows(found.tolist(), bodies, *members)
+
+
+def _routes(shared, slices: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, sketch, seen = shingler(), shared.value, set()
+        keys, names, held = [], [], 0
         for batch in batches:
-            texts, keys, nodes, sizes, counts = batch.column("text").cast(pa.binary()), [], [], [], []
+            texts = batch.column("text").cast(pa.binary())
             for i in range(batch.num_rows):
                 words = make.words(texts[i].as_py())
                 if not words:
                     continue
-                node = name_of(words)[0]
-                if node in seen:  # copies take the same routes
+                name = name_of(words)[0]
+                if name in seen:  # copies take the same routes
                     continue
                 if len(seen) > 500_000:
                     seen.clear()
-                seen.add(node)
-                shingles = make.set_of(words)
-                keys.append(route(shingles, sketch))
-                nodes.append(node)
-                sizes.append(len(shingles))
-                counts.append(len(keys[-1]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64()),
-                    pa.array(np.repeat(np.array(nodes, np.int64), counts)),
-                    pa.array(np.repeat(np.array(sizes, np.int64), counts)),
-                ],
-                names=["route", "node", "n"],
-            )
+                seen.add(name)
+                keys.append(route(make.set_of(words), sketch).view(np.int64))
+                names.append(np.full(len(keys[-1]), name, np.int64))
+                held += len(keys[-1])
+                if held > HELD_ROUTES:
+                    yield _sent(np.concatenate(keys), np.concatenate(names), slices)
+                    keys, names, held = [], [], 0
+        if held:
+            yield _sent(np.concatenate(keys), np.concatenate(names), slices)
 
     return run
 
 
-def blocks_of(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(group, node) of every block: a route with several nodes, one route of those with the same nodes."""
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of the shared routes among all slices of a task."""
+    bodies = []
+    for batch in batches:
+        plain = batch.filter(batch.column("body").is_null())
+        yield plain.select(["group", "name"])
+        bodies += [b.as_py() for b in batch.column("body").drop_null()]
+    if bodies:
+        entries = np.frombuffer(b"".join(bodies), np.int64).reshape(-1, 3)
+        routes, names, known, _, several = shared_routes(entries[:, 0], entries[:, 1], entries[:, 2] != 0)
+        several &= ~known  # a task that knew a route as shared has sent its members
+        yield pa.RecordBatch.from_arrays([pa.array(routes[several]), pa.array(names[several])], names=["group", "name"])
+
+
+def blocks_of(docs: DataFrame, nodes: DataFrame, sketch: np.ndarray) -> DataFrame:
+    """(group, node) of every block: a route with several nodes, one route of those with the same nodes.
+
+    ``nodes`` (node, name, n) gives each node's 64-bit name; nodes that share one are all members.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
-    found = docs.select("text").mapInArrow(_routes(shared), "route long, node long, n long").distinct()
+    total = nodes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)).first()[0] or 0
+    tasks = int(total) // TASK_ROUTES + 1
+    sent = docs.select("text").mapInArrow(
+        _routes(shared, TASK_SLICES * tasks), "slice int, body binary, group long, name long"
+    )
+    members = sent.repartition(tasks, "slice").mapInArrow(_members, "group long, name long").distinct()
+    found = staged(members.join(nodes.select("name", "node"), "name").select("group", "node"), "routes")
     # Counts before the join are combined per task, so a hot route sends one row from each.
     marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)]
-    sizes = (
-        found.groupBy("route")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.max("node").alias("high"), *marks)
-        .where("size > 1")
+    sizes = found.groupBy("group").agg(
+        F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.max("node").alias("high"), *marks
     )
-    one = sizes.groupBy("size", "low", "high", "mark0", "mark1").agg(F.min("route").alias("route"))
-    return found.join(one.select("route"), "route").select(F.col("route").alias("group"), "node")
+    one = sizes.where("size > 1").groupBy("size", "low", "high", "mark0", "mark1").agg(F.min("group").alias("group"))
+    return found.join(one.select("group"), "group")
 
 
 # --- the R-tree ----------------------------------------------------------------------------------
@@ -364,31 +425,25 @@ def near_duplicates(docs: DataFrame, cell: int = CELL, family_cell: int = FAMILY
     """
     docs = docs.select("row", "doc_id", "text")
     first = staged(docs.mapInArrow(_first_pass, PASS_ROWS), "shingle-sizes")
-    rows = first.where("slice IS NULL").select("row", "doc_id", "n_shingles", "node", "check", "point")
+    rows = first.where("slice IS NULL").select("row", "doc_id", "n_shingles", "name", "check", "point")
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    # Both halves of the name tell word sequences apart; a node's number is the row of its lead.
     nodes = staged(
-        rows.where("node IS NOT NULL")
-        .groupBy("node")
-        .agg(
-            F.min(lead).alias("lead"),
-            F.min("check").alias("c0"),
-            F.max("check").alias("c1"),
-            F.min("point").alias("point"),
-            F.min("n_shingles").alias("n"),
-        ),
+        rows.where("name IS NOT NULL")
+        .groupBy("name", "check")
+        .agg(F.min(lead).alias("lead"), F.min("point").alias("point"), F.min("n_shingles").alias("n"))
+        .select(F.col("lead.row").alias("node"), "*"),
         "nodes",
     )
-    if not nodes.where("c0 <> c1").isEmpty():
-        raise ValueError("two word sequences have one 64-bit name")
     with staging_run(docs.sparkSession):
         labels = staged(_labels(docs, first, nodes, cell, family_cell), "labels", lasting=True)
 
     placed = nodes.join(labels, "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label"), "lead"
+        "name", "check", F.coalesce("label", "node").alias("label"), "lead"
     )
     best = placed.groupBy("label").agg(F.min("lead").alias("best"))
-    by_node = placed.join(best, "label").select("node", "best")
-    out = rows.join(by_node, "node", "left")
+    by_name = placed.join(best, "label").select("name", "check", "best")
+    out = rows.join(by_name, ["name", "check"], "left")
     return out.select(
         "row",
         "doc_id",
@@ -400,10 +455,9 @@ def near_duplicates(docs: DataFrame, cell: int = CELL, family_cell: int = FAMILY
 
 def _labels(docs: DataFrame, first: DataFrame, nodes: DataFrame, cell: int, family_cell: int) -> DataFrame:
     """The component (node, label) of each node that links to another."""
-    blocks = staged(blocks_of(docs, sketch_of(first)), "blocks")
+    blocks = staged(blocks_of(docs, nodes, sketch_of(first)), "blocks")
     families = staged(components(links_within(blocks, nodes.select("node", "point", "n"), may_link, cell, "block")), "families")
-    places = families.select("node").join(nodes.select("node", F.col("lead.row").alias("row")), "node")
-    bodies = places.join(docs.select("row", F.col("text").cast("binary").alias("body")), "row").select("node", "body")
+    bodies = docs.select(F.col("row").alias("node"), F.col("text").cast("binary").alias("body"))
     members = families.select(F.col("label").alias("group"), "node")
     return components(links_within(members, bodies, linked, family_cell, "family"))
 

@@ -278,10 +278,35 @@ def test_tree_misses_no_pair(scale):
 def test_blocks_with_the_same_nodes_count_once(spark):
     rows = [(0, "a b c d e f g h i j k l m n o p q r s t"), (1, "a b c d e f g h i j k l m n o p q r s u")]
     df = spark.createDataFrame(rows * 3, "doc_id long, text string").withColumn("row", F.monotonically_increasing_id())
-    blocks = J.blocks_of(df, np.zeros(1 << J.SKETCH_BITS, np.int64)).collect()
+    names = [(i, J.name_of(text.encode().split())[0], 16) for i, text in rows]
+    nodes = spark.createDataFrame(names, "node long, name long, n long")
+    blocks = J.blocks_of(df, nodes, np.zeros(1 << J.SKETCH_BITS, np.int64)).collect()
     assert len(blocks) == 2 and len({r.group for r in blocks}) == 1
 
 
+@pytest.mark.parametrize("step", [1, 100])
+def test_members_of_shared_routes(step):
+    """Every member of a route with several names comes out, however the entries meet."""
+    rng = np.random.default_rng(2)
+    routes, names = rng.integers(-40, 40, 300), rng.integers(-2, 3, 300)
+    routes[:60] = 7  # a hot one
+    want = {(r, n) for r, n in zip(routes, names) if len(set(names[routes == r])) > 1}
+    assert want and len(want) < len(set(zip(routes, names)))
+    sent = [J._sent(routes[i : i + step], names[i : i + step], 3) for i in range(0, 300, step)]
+    out = [b for b in J._members(iter(sent))]
+    found = [(g, n) for b in out for g, n in zip(b.column("group").to_pylist(), b.column("name").to_pylist())]
+    assert set(found) == want
+
+
+def test_two_sequences_of_one_half_name(spark, monkeypatch):
+    """Sequences that agree in 64 bits of their names stay apart."""
+    whole = J.name_of
+    monkeypatch.setattr(J, "name_of", lambda words: (1, whole(words)[1]))
+    rows = [(1, "a b c d e f g"), (2, "t u v w x y z"), (3, "a b c d e f g")]
+    found = near(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (2, 2), (3, 1)]
+
+
 def test_one_of_each_keeps_columns(spark, no_docs):
     rows = [(5, "a b c d e f", 1), (2, "A b  c d e f", 2), (2, "A b  c d e f", 2), (9, None, 3), (None, "", 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, row long").withColumn("node", F.lit("n"))
