@@ -7,8 +7,10 @@ new bin opens, and if too many are open the fullest closes first, which is the l
 all. A piece is written when its bin closes, so a task holds one batch and its open bins.
 
 The bins open at the end of a task could still be joined with those of other tasks. Their pieces,
-and no others, are dealt out anew to few tasks and packed again there, longest first. The pieces of
-the first pass are staged, so no text is encoded twice.
+and no others, are dealt out anew to few tasks and packed again there by the same rule and with the
+same number of open bins. They come in an order that is the hash of where the first pass put them,
+which says nothing of their lengths. The pieces of the first pass are staged, so no text is encoded
+twice.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CAPACITY = 2048
 END_ID = 0
 OPEN_BINS = 1024
-#: About how many pieces one task packs in the second pass; all its bins stay open.
+#: About how many pieces one task packs in the second pass.
 AGAIN_PIECES = 100_000
 
 PIECES = (
@@ -129,10 +131,10 @@ def _pack(path: str, capacity: int, end_id: int, most: int):
     return run
 
 
-def _pack_again(capacity: int):
+def _pack_again(capacity: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Above the numbers of the first pass.
-        bins = OpenBins(capacity, sys.maxsize, (1 << 62) + (TaskContext.get().partitionId() << 40))
+        bins = OpenBins(capacity, most, (1 << 62) + (TaskContext.get().partitionId() << 40))
         for batch in batches:
             placed = [bins.place(length) for length in batch.column("length").to_pylist()]
             bins.closed.clear()
@@ -154,9 +156,10 @@ def packed_pieces(
     """The pieces of ``docs`` (doc_id, text) with the sequence and offset that each one gets.
 
     A document is its token ids (``path``: a vocabulary file with word ends) and then ``end_id``;
-    one of more than ``capacity`` ids is cut into pieces of that length, the last may be shorter. A
-    null or empty text is the end id alone. Repeated rows are packed each; a null doc_id stays
-    null. An empty table gives no pieces.
+    one of more than ``capacity`` ids is cut into pieces of that length, the last may be shorter;
+    very long texts are encoded whole. A null or empty text is the end id alone. Repeated rows are
+    packed each; a null doc_id stays null. Other columns are left out, whatever their names. An
+    empty table gives no pieces. Neither pass has more than ``most`` bins open in a task.
     """
     first = docs.select("doc_id", "text").mapInArrow(
         _pack(path, capacity, end_id, most), f"{PIECES}, open boolean"
@@ -166,7 +169,7 @@ def packed_pieces(
     again = (
         left.repartition(left.count() // AGAIN_PIECES + 1)
         # A total order, so that a repeated attempt gives the same sequences.
-        .sortWithinPartitions(F.desc("length"), "sequence_id", "offset")
-        .mapInArrow(_pack_again(capacity), PIECES)
+        .sortWithinPartitions(F.xxhash64("sequence_id", "offset"), "sequence_id", "offset")
+        .mapInArrow(_pack_again(capacity, most), PIECES)
     )
     return first.where("NOT open").drop("open").unionByName(again)

@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -148,6 +149,35 @@ def test_bins_of_many_small_partitions_are_joined(docs, monkeypatch, again):
     assert len(sequences) <= 1.03 * least + 1 + len(many) // again
 
 
+@pytest.mark.parametrize("most", [1, 7])
+def test_no_pass_has_more_open_bins(most, monkeypatch):
+    """A bin is open until no later piece can go there; ``OpenBins`` never holds more than ``most``."""
+    rng = random.Random(3)
+    lengths = [rng.randrange(1, 65) for _ in range(400)]
+    bins = P.OpenBins(64, most)
+    for length in lengths:
+        bins.place(length)
+        assert bins.open <= most and bins.open == sum(map(len, bins.by_free))
+    task = SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0))
+    monkeypatch.setattr(P, "TaskContext", task)
+    rows = [(i, 0, 0, n, 0, i, 0) for i, n in enumerate(lengths)]
+    out = list(P._pack_again(64, most)(iter([P._batch(rows, P._PIECES)])))
+    opened = out[0].column("sequence_id").to_pylist()
+    full, last = Counter(), {b: at for at, b in enumerate(opened)}
+    for bin_, n in zip(opened, lengths):
+        full[bin_] += n
+    for at in range(len(opened)):
+        assert len({b for b in opened[: at + 1] if last[b] > at}) <= most
+    assert max(full.values()) <= 64
+
+
+def test_packing_leaves_clashing_columns_out(docs):
+    extra = docs.selectExpr("doc_id", "text", "1 AS piece", "'x' AS open", "2 AS sequence_id", "3 AS length")
+    plain = P.packed_pieces(docs, vocabulary(WORD_BPE), 64).collect()
+    found = P.packed_pieces(extra, vocabulary(WORD_BPE), 64).collect()
+    assert Counter(tuple(p)[:5] for p in found) == Counter(tuple(p)[:5] for p in plain)
+
+
 @pytest.mark.parametrize("most", [1, 3, 1024])
 def test_packing(docs, no_docs, most):
     capacity = 64
