@@ -229,6 +229,7 @@ def round_trip(turns: DataFrame) -> DataFrame:
 
     Null texts and roles are empty; turns are in the order of turn, then role, then text, nulls
     first, so ties and repeated rows have a fixed order and all stay. Rows with a null conv_id are
-    one conversation. An empty table gives no rows.
+    one conversation. Texts of any length pass in pieces; other columns are left out, whatever their
+    names. An empty table gives no rows.
     """
     return digests(staged(formatted(turns), "chat"))

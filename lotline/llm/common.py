@@ -31,6 +31,11 @@ def crc_of_id(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def drawn(share, column: str = "doc_id") -> Column:
+    """Whether the hash of an id lies in the lowest ``share`` of all hashes; no share is too small."""
+    return F.xxhash64(column).bitwiseAND((1 << 63) - 1).cast("double") <= share * float(1 << 63)
+
+
 def worker_store(name: str) -> dict:
     """A dict that lives as long as the Python worker process.
 

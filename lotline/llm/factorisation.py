@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotline.llm.common import crc_of_id
+from lotline.llm.common import crc_of_id, drawn
 from lotline.llm.suffix_arrays import words_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -187,7 +187,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
 
     Only rows outside the held-out fold are learned from, and of them about ``rows``, drawn by a
     hash of doc_id, so the sample that is broadcast and collected has a fixed bound. Null labels
-    and null doc_ids are left out; a doc_id with several labels has the largest.
+    and null doc_ids are left out; a doc_id with several labels has the largest, one with several
+    rows counts once. Texts are read whole, however long. Empty tables, or no labels, give a
+    machine that scores every text 0.5. Other columns are not looked at.
     """
     usable = (
         labels.where(F.col("quality").isNotNull() & (crc_of_id() % FOLDS != HELD_OUT))
@@ -195,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
         .agg(F.max(F.col("quality").cast("int")).alias("quality"))
     )
     share = min(1.0, rows / max(1, usable.count()))
-    sample = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(1_000_000 * share))
+    sample = usable.where(drawn(F.lit(share)))
     made = (
         docs.select("doc_id", "text", F.col("n_chars").cast("long").alias("n_chars"))
         .join(F.broadcast(sample), "doc_id")
@@ -242,6 +244,8 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
 
     A null text scores like an empty one. A null doc_id is in no fold, so it is not held out.
     Without labels every score is 0.5; with one class only, scores follow the share of label 1.
+    Texts are scored whole, however long; repeated rows are scored each and alike; columns of any
+    name stay in the struct. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     rows = docs.select(

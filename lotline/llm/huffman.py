@@ -330,8 +330,9 @@ def round_trip(docs: DataFrame, path: str, vocabulary: int, end_id: int = END_ID
     """Write ``docs`` (doc_id, text) as files of Huffman codes and read them back.
 
     ``path`` is a byte-level BPE file of ``vocabulary`` ids. A null or empty text is the end id
-    alone; repeated rows are written each, in the order they were read; an empty table writes no
-    file and gives no rows.
+    alone; repeated rows are written each, in the order they were read; a text of any length stays in
+    one file; other columns are left out, whatever their names; an empty table writes no file and
+    gives no rows.
     """
     tokens = staged(
         tokenized(docs, path, end_id).withColumn("row_id", F.monotonically_increasing_id()), "token-ids"

@@ -33,8 +33,8 @@ def radix_groups(docs: DataFrame, carry: bool = False) -> DataFrame:
     Returns doc_id, keep_id, group_size, kept, text_sha256 and, with ``carry``, the whole input row
     as the struct ``source_row`` (so that clashing column names cannot hurt). Texts are compared
     after lower-casing A-Z; null counts as empty. The row with the largest doc_id stays; a null
-    doc_id is below all others. Of repeated rows with that same doc_id exactly one stays. An empty
-    table gives an empty result.
+    doc_id is below all others. Of repeated rows with that same doc_id exactly one stays. Texts are
+    compared whole, however long. An empty table gives an empty result.
     """
     # Carried rows hold the text already; otherwise it travels in normalised form, while needed.
     if carry:

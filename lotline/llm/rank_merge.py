@@ -219,7 +219,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, batch_bytes: in
     """``docs`` (doc_id, text) with n_bytes, n_tokens and over_limit, one row per row.
 
     ``path`` is a byte-level BPE file. Null counts as empty: 0 bytes and 0 tokens. Every text is
-    counted whole; repeated rows are counted each. An empty table gives an empty result.
+    counted whole; repeated rows are counted each; other columns are left out, whatever their names.
+    An empty table gives an empty result.
     """
     counted = docs.select("doc_id", "text").mapInArrow(
         _count(path, batch_bytes), "doc_id long, n_bytes long, n_tokens long"

@@ -22,13 +22,15 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotline.llm.common import crc_of_id
+from lotline.llm.common import crc_of_id, drawn
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: About how many documents the network is trained on; fewer where the table has fewer.
 TRAIN_DOCS = 4_000
 TRAIN_CHARS = 256
+#: A language has at least one in so many of the documents that equal shares would give it.
+RARE_PART = 4
 HIDDEN = 8
 SEGMENT = 128
 #: Segments that are read side by side.
@@ -248,17 +250,26 @@ class Pool:
 def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Network:
     """Train on ``docs`` (doc_id, text, lang) outside the held-out fold, of known language.
 
-    About ``rows`` of them, drawn by a hash of doc_id, and of each one window of ``TRAIN_CHARS``
-    characters at a hashed place; the driver holds no more than that.
+    About ``rows`` of them, drawn by a hash of doc_id and per language: each has its share of the
+    documents, but not less than a quarter of an equal part, so that a rare one is learned as well
+    and there are never more than about 1.25 times ``rows``. Of each document one window of
+    ``TRAIN_CHARS`` characters at a hashed place is taken; the driver holds no more than that. A
+    doc_id with several rows counts once. Empty tables give a network without languages. Other
+    columns are not looked at.
     """
     usable = docs.where(
         F.col("lang").isNotNull() & (F.length("text") > 0) & (crc_of_id() % FOLDS != HELD_OUT)
     )
-    share = min(1.0, rows / max(1, usable.select("doc_id").distinct().count()))
+    # A row for each language, as the network has an output for each.
+    counts = usable.groupBy("lang").agg(F.count_distinct("doc_id").alias("n"))
+    total, langs = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    share = F.greatest(F.lit(rows / max(1, total or 0)), rows / (RARE_PART * langs * F.col("n")) if langs else F.lit(0.0))
+    shares = counts.select("lang", F.least(F.lit(1.0), share).alias("share"))
     room = F.greatest(F.length("text") - TRAIN_CHARS, F.lit(0)) + 1
     place = F.pmod(F.xxhash64("doc_id", F.lit("place")), room).cast("int") + 1
-    drawn = (
-        usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(1_000_000 * share))
+    sample = (
+        usable.join(F.broadcast(shares), "lang")
+        .where(drawn(F.col("share")))
         # One window of each doc_id, so that a repeated one cannot outgrow the sample.
         .groupBy("doc_id")
         .agg(F.max(F.struct(F.substring(F.col("text"), place, F.lit(TRAIN_CHARS)).alias("part"), "lang")).alias("row"))
@@ -266,7 +277,7 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Network:
         .toPandas()
         .sort_values(["lang", "part"], kind="stable")
     )
-    return fit([p.encode() for p in drawn["part"]], drawn["lang"].tolist())
+    return fit([p.encode() for p in sample["part"]], sample["lang"].tolist())
 
 
 def _label(shared, group_bytes: int = 4 << 20):
@@ -302,7 +313,9 @@ def identified(docs: DataFrame, net: Network) -> DataFrame:
     """``docs`` (doc_id, text) with held_out, lang_pred and score, one row per row.
 
     A text that is null or has no letter is ``und`` with score 0, and so is every text if there
-    was nothing to learn from. A null doc_id is in no fold, so it is not held out.
+    was nothing to learn from. A null doc_id is in no fold, so it is not held out. Texts are read
+    whole, however long; repeated rows are labelled each and alike; other columns are left out,
+    whatever their names. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
     out = docs.select("doc_id", "text").mapInArrow(

@@ -353,8 +353,12 @@ def matched(
 
     ``hits`` holds n_words, the word spans covered by occurring windows, the items they belong to
     (sorted as strings), and the longest verbatim match with its item and word position: of equally
-    long ones the first in the text, and of its items the first as a string. A null or empty text has no words and no hits; an item without words is no item; a null item_id is named
-    by the empty string; repeated items count once. Empty tables give no hits or no rows.
+    long ones the first in the text, and of its items the first as a string. A null or empty text has no
+    words and no hits; an item without words is no item; a null item_id is named by the empty string;
+    repeated items count once. Repeated documents are matched each and alike; a shard ends
+    after a whole text, so texts of any length are matched whole; columns of any name stay in the
+    struct.
+    Empty tables give no hits or no rows.
     """
     spark = docs.sparkSession
     state = docs.select(

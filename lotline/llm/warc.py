@@ -97,7 +97,10 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
 
 
 def _fields(head: bytes, first: str) -> dict[str, str]:
-    lines = head.decode("utf-8").split("\r\n")
+    try:
+        lines = head.decode("utf-8").split("\r\n")
+    except UnicodeDecodeError as error:
+        raise ArchiveError(f"the headers are not UTF-8: {error.reason}") from error
     if lines[0] != first:
         raise ArchiveError(f"starts with {lines[0][:40]!r}, not {first!r}")
     fields = {}
@@ -374,7 +377,9 @@ def round_trip(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
     A null html is an empty payload. Of equal payloads the row with the largest page_id is the
     response; rows that repeat that page_id are responses too. A null page_id is below all others,
     is written as such and read back as null. A null url has no target header; control characters
-    and blanks in a url are percent-encoded. An empty table writes no archive and gives no rows.
+    and blanks in a url are percent-encoded. A payload of any length is one record, held by one task
+    while it is written; other columns are left out, whatever their names. An empty table writes no
+    archive and gives no rows.
     """
     folder = files.new_folder(pages.sparkSession, "warc")
     return read_archives(write_archives(pages, folder, revisit_from))

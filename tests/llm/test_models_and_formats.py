@@ -13,6 +13,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from lotline.llm import chat as C, factorisation as Q, files, recurrent as L, warc as A
+from lotline.llm.common import drawn
 
 # --- archives ------------------------------------------------------------------------------------
 
@@ -243,6 +244,33 @@ def test_repeated_documents_do_not_shrink_the_sample(spark, monkeypatch):
     assert 60 <= L.train(docs, rows=100) <= 140
 
 
+def test_rare_languages_are_in_the_sample(spark, monkeypatch):
+    """Three documents in 20,000, of which a plain draw of 400 would mostly have none."""
+    docs = spark.range(40_000).selectExpr(
+        "id AS doc_id", "concat('text ', id) AS text",
+        "CASE WHEN id % 20000 IN (7, 8, 9) THEN 'rare' WHEN id % 5000 = 1 THEN 'few' ELSE 'most' END AS lang",
+    )
+    usable = docs.where(L.crc_of_id() % L.FOLDS != L.HELD_OUT)
+    there = Counter(r.lang for r in usable.select("lang").collect())
+    monkeypatch.setattr(L, "fit", lambda windows, langs: Counter(langs))
+    got = L.train(docs, rows=400)
+    assert got["rare"] == there["rare"] > 0 and got["few"] == there["few"] > 0
+    assert 300 <= got["most"] <= 500
+
+
+def test_a_share_may_be_very_small(spark):
+    ids = spark.range(200_000).withColumnRenamed("id", "doc_id")
+    assert ids.where(drawn(F.lit(1.0))).count() == 200_000
+    assert ids.where(drawn(F.lit(0.0))).count() == 0
+    assert 130 <= ids.where(drawn(F.lit(1e-3))).count() <= 270
+
+
+def test_headers_that_are_not_utf8_are_an_archive_error():
+    record = A.make_record(1, "http://a.example/", b"body", None, False)
+    with pytest.raises(A.ArchiveError, match="UTF-8"):
+        A.parse_record(record.replace(b"WARC-Target-URI: http", b"WARC-Target-URI: \xff"))
+
+
 def test_masked_backpropagation_ignores_padding():
     rng = np.random.default_rng(0)
     cell = L.Cell(rng.normal(size=(9, 256)), rng.normal(size=(9, 3)))
