@@ -118,3 +118,29 @@ def test_join_keeps_its_partitions_for_the_minimum(spark):
 
 def test_empty_input(spark):
     assert found(pairs_within(frame(spark, []), 500.0)) == {}
+
+
+def test_members_travel_with_the_shapes_not_with_the_pairs(spark):
+    """Nothing shuffles or joins the pairs, of which there may be far more than parcels."""
+    parcels = mixed_parcels(40, 2, seed=5)
+    df = frame(spark, parcels)
+    pairs = pairs_within(df, 500.0, block_edges=30, carry=F.struct("parcel_id", "owner_normalized"))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("MapInArrow")]
+    assert "Exchange" not in above and "Join" not in above and "Aggregate" not in above
+    owners = {i: o for i, o, _ in parcels}
+    rows = pairs.collect()
+    assert found(pairs) == brute(parcels, 500.0) and rows
+    for r in rows:
+        assert (r.a.parcel_id, r.b.parcel_id) == (r.id_a, r.id_b)
+        assert r.a.owner_normalized == r.b.owner_normalized == owners[r.id_a]
+
+
+def test_distances_do_not_depend_on_how_edges_are_dealt(spark, monkeypatch):
+    from lotline.operators import block_distance as B
+
+    parcels = mixed_parcels(40, 1, seed=6)
+    expected = brute(parcels, 400.0)
+    for name in ("COMPARED", "TAKEN", "EDGE_PAIRS"):
+        monkeypatch.setattr(B, name, 3)
+    assert found(pairs_within(frame(spark, parcels), 400.0)) == expected
