@@ -31,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotline.llm.cells import links_within
+from lotline.llm.cells import links_within, numbered
 from lotline.llm.components import components
 from lotline.llm.shingles import mixed, name_of, shingler, words_of
 from lotline.sources.staging import staged, staging_run
@@ -44,9 +44,9 @@ PERCENT = 80
 MINIMA, BITS, BANDS, ROWS = 256, 2, 51, 5
 #: Standard deviations that an estimate may lie below a link and still be confirmed.
 SIGMAS = 5.5
-#: Shingles hashed together, nodes of a cell of a band group and of a family.
+#: Shingles hashed together, nodes of a cell of a band group and of a family, and shingles of the latter.
 ROUND_SHINGLES = 1 << 16
-BAND_CELL, FAMILY_CELL = 4096, 1024
+BAND_CELL, FAMILY_CELL, FAMILY_SHINGLES = 4096, 1024, 1 << 21
 
 _WORDS = MINIMA * BITS // 64
 _LANES = np.uint64(int("01" * (64 // BITS), 2)) if BITS == 2 else None
@@ -166,19 +166,18 @@ def linked(table: pa.Table):
     signs, least, make = _signatures(table), least_agreeing(), shingler(SHINGLE)
     sets = [make.set_of(words_of(t.as_buffer().to_pybytes())) for t in table.column("body")]
     sizes = np.array([len(s) for s in sets])
-    _, local = np.unique(np.concatenate(sets), return_inverse=True)
-    local = np.split(local, np.cumsum(sizes)[:-1])
-    mark = np.zeros(1 + max(int(x.max()) for x in local), np.int32)
+    sets, distinct = numbered(sets)
+    mark = np.zeros(distinct, np.int32)
 
     def near(i: int, others: np.ndarray) -> np.ndarray:
         n, m = sizes[i], sizes[others]
         ok = (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (agreements(signs[i], signs[others]) >= least)
         at = np.flatnonzero(ok)
         if len(at):
-            chosen = [local[j] for j in others[at]]
-            mark[local[i]] = 1
+            chosen = [sets[j] for j in others[at]]
+            mark[sets[i]] = 1
             shared = np.add.reduceat(mark[np.concatenate(chosen)], np.cumsum([0, *map(len, chosen[:-1])]))
-            mark[local[i]] = 0
+            mark[sets[i]] = 0
             ok[at] = 100 * shared >= PERCENT * (n + m[at] - shared)
         return ok
 
@@ -240,8 +239,9 @@ def _labels(docs: DataFrame, first: DataFrame, names: DataFrame, band_cell: int,
         .join(docs.select(F.col("row").alias("node"), F.col("text").cast("binary").alias("body")), "node")
         .join(signatures, "node")
     )
-    members = families.select(F.col("label").alias("group"), "node")
-    return components(links_within(members, bodies, linked, family_cell, "family"))
+    sizes = first.select(F.col("row").alias("node"), F.col("n_shingles").alias("weight"))
+    members = families.select(F.col("label").alias("group"), "node").join(sizes, "node")
+    return components(links_within(members, bodies, linked, family_cell, "family", FAMILY_SHINGLES))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Links within groups of nodes, found in bounded cells and returned as a spanning set.
 
-A group may be of any size. Its nodes are dealt to cells of about ``cell`` nodes. In a cell a search
+A group may be of any size. Its nodes are dealt to cells of about ``cell`` nodes, or fewer where they
+are heavy, so that a cell of long texts is bounded as well. In a cell a search
 starts at a node and compares it with all nodes not reached yet; those that link are reached and
 searched from in turn. A node that is reached is never compared with another reached one, so a
 dense group of n nodes takes about n comparisons, and at most n - 1 links come out of any cell. No
@@ -30,6 +31,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 KEY = ["group", "low", "high"]
 
 
+def numbered(sets: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """Sorted sets with their numbers replaced by small ones from 0, and how many of those there are.
+
+    One sorted copy of all sets is held beside them, no more.
+    """
+    every = np.concatenate(sets)
+    every.sort()
+    every = every[np.append(True, every[1:] != every[:-1])]
+    return [np.searchsorted(every, s).astype(np.int32) for s in sets], len(every)
+
+
 def search(labels: np.ndarray, parts: np.ndarray, near: Callable) -> list[tuple[int, int]]:
     """A spanning set of the links between nodes of different labels and parts.
 
@@ -103,14 +115,24 @@ def _searched(rows: DataFrame, compare: Callable) -> DataFrame:
 
 
 def links_within(
-    members: DataFrame, payload: DataFrame, compare: Callable[[pa.Table], Callable], cell: int, label: str
+    members: DataFrame,
+    payload: DataFrame,
+    compare: Callable[[pa.Table], Callable],
+    cell: int,
+    label: str,
+    cell_weight: int | None = None,
 ) -> DataFrame:
     """A spanning set (a, b) of the links within the groups of ``members`` (group, node).
 
     ``payload`` has one row for each node with what ``compare`` needs; it is joined once the cells
-    of a node are known. A node may be in several groups. No members give no links.
+    of a node are known. A node may be in several groups. No members give no links. With
+    ``cell_weight``, members have a ``weight``, and a cell has about so much of it at most, or one node.
     """
-    sizes = members.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).alias("parts"))
+    count = F.count(F.lit(1))
+    parts = F.ceil(count / F.lit(cell))
+    if cell_weight:
+        parts = F.least(count, F.greatest(parts, F.ceil(F.sum("weight") / F.lit(cell_weight))))
+    sizes = members.groupBy("group").agg(parts.alias("parts"))
     dealt = staged(
         members.join(sizes.where("parts > 1"), "group", "left").select(
             "group",

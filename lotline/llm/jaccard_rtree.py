@@ -20,7 +20,7 @@ node. The others are found exactly, in these steps:
    leaves is verified on the sets themselves. Components of these links are the result.
 
 Nodes of different families cannot link, and within a family no pair of different components stays
-unlinked that is a link, so none is lost. Blocks and families beyond a cell are dealt to cells and
+unlinked that is a link, so none is lost. Blocks and families beyond a cell (for families in nodes or in shingles) are dealt to cells and
 then searched cell against cell (see cells.py), so no task holds an unbounded one.
 """
 
@@ -36,7 +36,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotline.llm.cells import links_within
+from lotline.llm.cells import links_within, numbered
 from lotline.llm.common import worker_store
 from lotline.llm.components import components
 from lotline.sources.staging import staged, staging_run
@@ -52,8 +52,8 @@ SKETCH_SLICES = 16
 #: Groups of the points, and of those in a family; entries of a tree node.
 GROUPS, FINE_GROUPS = 128, 1024
 LEAF = 16
-#: Nodes of a cell of a block and of a family.
-CELL, FAMILY_CELL = 4096, 1024
+#: Nodes of a cell of a block and of a family, and shingles of a cell of a family.
+CELL, FAMILY_CELL, FAMILY_SHINGLES = 4096, 1024, 1 << 21
 #: Routes that a task holds before it sends them on, and about how many it receives.
 HELD_ROUTES, TASK_ROUTES = 1 << 20, 1 << 20
 #: Slices of the routes for each receiving task, so that tasks get about equal shares.
@@ -61,36 +61,54 @@ TASK_SLICES = 8
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-MEMO_WORDS = 300_000
+#: Bytes of a word, with the blank after it, that are numbered by their places; words numbered together.
+PLACES, TOGETHER = 64, 1 << 16
 
 
 # --- shingles ------------------------------------------------------------------------------------
 
 
 class Shingler:
-    """Words to 64-bit numbers, kept in a bounded dictionary, and texts to shingle sets."""
+    """Words to 64-bit numbers and texts to shingle sets.
+
+    The number of a word is the sum of a random entry for each of its bytes and their places, so
+    that all words of a text are numbered together. The entries are digests: the same everywhere.
+    """
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = {}
+        entries = b"".join(blake2b(i.to_bytes(4, "little")).digest() for i in range(PLACES * 32))
+        self.entries = np.frombuffer(entries, "<u8").reshape(PLACES, 256).copy()
+        self.entries[:, 32] = 0  # the blank after a word is no part of it
+        self.entries = self.entries.reshape(-1)
 
     def words(self, text: bytes | None) -> list[bytes]:
         return text.translate(_LOWER).split() if text else []
 
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word."""
+        if len(words) > TOGETHER:
+            parts = range(0, len(words), TOGETHER)
+            return np.concatenate([self.numbers(words[i : i + TOGETHER]) for i in parts])
+        text = np.frombuffer(b" ".join(words), np.uint8)
+        starts = np.append(0, np.flatnonzero(text == 32) + 1)
+        sizes = np.diff(np.append(starts, len(text) + 1))  # with the blank
+        if sizes.max() >= PLACES:
+            # A digest stands for a long word; no other has a capital letter in it.
+            return self.numbers([w if len(w) < PLACES - 1 else b"A" + blake2b(w, digest_size=16).hexdigest().encode() for w in words])
+        place = np.arange(len(text)) - np.repeat(starts, sizes)[: len(text)]
+        return np.add.reduceat(self.entries[(place << 8) | text], starts)
+
     def set_of(self, words: list[bytes]) -> np.ndarray:
         """Sorted distinct 64-bit shingle numbers."""
         if not words:
             return np.zeros(0, np.uint64)
-        known = self.numbers
-        if len(known) > MEMO_WORDS:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        numbers = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        numbers = self.numbers(words)
         width = min(SHINGLE, len(words))
         value = np.full(len(words) - width + 1, np.uint64(width), np.uint64)
         for j in range(width):
             value = mixed(value * _ODD + numbers[j : j + len(value)])
-        return np.unique(value)
+        value.sort()
+        return value[np.append(True, value[1:] != value[:-1])]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -202,11 +220,10 @@ def sketch_of(first: DataFrame) -> np.ndarray:
 
 
 def route(shingles: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, rare ones first."""
+    """The first shingles of a sorted set, rare ones first."""
     common = sketch[(shingles & np.uint64(len(sketch) - 1)).astype(np.int64)]
     k = prefix_size(len(shingles))
-    order = np.lexsort((shingles, common))[:k]
-    return shingles[order]
+    return shingles[np.argsort(common, kind="stable")[:k]]
 
 
 def shared_routes(routes: np.ndarray, names: np.ndarray, known: np.ndarray):
@@ -391,18 +408,17 @@ def linked(table: pa.Table):
     sets = [make.set_of(make.words(body.as_buffer().to_pybytes())) for body in table.column("body")]
     sizes = np.array([len(s) for s in sets])
     tree = RTree(np.stack([group_counts(s, FINE_GROUPS) for s in sets]), sizes)
-    _, local = np.unique(np.concatenate(sets), return_inverse=True)
-    local = np.split(local, np.cumsum(sizes)[:-1])
-    mark = np.zeros(1 + max(int(x.max()) for x in local), np.int32)
+    sets, distinct = numbered(sets)
+    mark = np.zeros(distinct, np.int32)
 
     def near(i: int, others: np.ndarray) -> np.ndarray:
         ok = tree.near(i, others)
         at = np.flatnonzero(ok)
         if len(at):
-            chosen = [local[j] for j in others[at]]
-            mark[local[i]] = 1
+            chosen = [sets[j] for j in others[at]]
+            mark[sets[i]] = 1
             shared = np.add.reduceat(mark[np.concatenate(chosen)], np.cumsum([0, *map(len, chosen[:-1])]))
-            mark[local[i]] = 0
+            mark[sets[i]] = 0
             ok[at] = 100 * shared >= PERCENT * (sizes[i] + sizes[others[at]] - shared)
         return ok
 
@@ -458,8 +474,9 @@ def _labels(docs: DataFrame, first: DataFrame, nodes: DataFrame, cell: int, fami
     blocks = staged(blocks_of(docs, nodes, sketch_of(first)), "blocks")
     families = staged(components(links_within(blocks, nodes.select("node", "point", "n"), may_link, cell, "block")), "families")
     bodies = docs.select(F.col("row").alias("node"), F.col("text").cast("binary").alias("body"))
-    members = families.select(F.col("label").alias("group"), "node")
-    return components(links_within(members, bodies, linked, family_cell, "family"))
+    sizes = nodes.select("node", F.col("n").alias("weight"))
+    members = families.select(F.col("label").alias("group"), "node").join(sizes, "node")
+    return components(links_within(members, bodies, linked, family_cell, "family", FAMILY_SHINGLES))
 
 
 def with_rows(docs: DataFrame) -> DataFrame:

@@ -1,14 +1,17 @@
 """Exact copies, benchmark passages, near copies and the pipeline against brute force."""
 
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lotline.llm import jaccard_rtree as J, radix_dedup as R, suffix_arrays as S
+from lotline.llm import bbit_minhash as B, jaccard_rtree as J, radix_dedup as R, suffix_arrays as S
+from lotline.llm.cells import links_within
 from lotline.llm.components import components
 from lotline.sources.staging import staged
 from .conftest import WORDS, lowered, sha
@@ -275,6 +278,67 @@ def test_tree_misses_no_pair(scale):
     assert dropped > 300 * 100
 
 
+@pytest.mark.parametrize("module", [J, B])
+def test_a_family_of_long_texts_is_cut_by_shingles(spark, monkeypatch, module):
+    """Few texts, but far more shingles than a cell takes: the same components."""
+    monkeypatch.setattr(module, "FAMILY_SHINGLES", 500)
+    rng = random.Random(6)
+    rows = list(enumerate(chained_families(rng, 3, 15)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    numbers = staged(df.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    whole = module.near_duplicates(numbers).collect()
+    asked = []
+    monkeypatch.setattr(module, "links_within", lambda *a: asked.append((a[0].count(), *a[3:])) or links_within(*a))
+    found = module.near_duplicates(numbers).collect()
+    assert sorted(found) == sorted(whole)
+    members, cell, label, weight = asked[-1]
+    assert (label, weight) == ("family", 500) and members < cell
+    if module is J:
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_near(rows)
+
+
+def test_heavy_members_get_more_cells(spark):
+    """No cell, nor a pair of cells, holds all 60 nodes, which would fit by their number."""
+
+    def few(table):
+        if table.num_rows > 40:
+            raise ValueError(f"{table.num_rows} nodes in a cell")
+        return lambda i, others: np.abs(others - i) < 0  # no links
+
+    rows = [(1, i, 100) for i in range(60)] + [(2, 100, 10**6), (2, 101, 10**6)]
+    members = spark.createDataFrame(rows, "group long, node long, weight long")
+    payload = members.select("node", F.lit(0).alias("n"))
+    assert links_within(members, payload, few, 1000, "heavy", 1000).collect() == []
+
+
+@pytest.mark.parametrize("module", [J, B])
+def test_sets_of_a_family_are_held_once(module):
+    """Not several 64-bit numbers for each shingle of a cell beside the sets."""
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(words[:3000] + [f"d{d}"] + words[3000:]) for d in range(100)]
+    table = pa.table({"body": pa.array([t.encode() for t in texts], pa.binary())})
+    if module is B:
+        table = table.append_column("signature", pa.array([bytes(8 * B._WORDS)] * len(texts), pa.binary()))
+    tracemalloc.start()
+    near = module.linked(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 36 * 4000 * len(texts)
+    assert near(0, np.arange(1, 100)).all()
+
+
+def test_numbers_of_words():
+    make, long = J.Shingler(), b"x" * 70
+    words = [b"a", b"b", b"ab", b"ba", long + b"1", long + b"2", b"x" * 62, b"x" * 63, b"a", long + b"1"]
+    numbers = make.numbers(words)
+    assert len(set(numbers.tolist())) == 8 and numbers[0] == numbers[8] and numbers[4] == numbers[9]
+    for i, word in enumerate(words):  # whatever stands around it
+        assert make.numbers([word])[0] == numbers[i]
+    many = [b"w%d" % (i % 1000) for i in range(2 * J.TOGETHER + 7)]
+    assert len(set(make.numbers(many).tolist())) == 1000
+    assert len(make.set_of(many)) == 1000
+
+
 def test_blocks_with_the_same_nodes_count_once(spark):
     rows = [(0, "a b c d e f g h i j k l m n o p q r s t"), (1, "a b c d e f g h i j k l m n o p q r s u")]
     df = spark.createDataFrame(rows * 3, "doc_id long, text string").withColumn("row", F.monotonically_increasing_id())
