@@ -13,7 +13,9 @@ node. The others are found exactly, in these steps:
 2. Candidates. The shingles of a node are hashed into groups; its group counts are its point. In each
    block an R-tree over the points answers, for one node after the other, which nodes not reached
    yet may link: the overlap of two sets is at most the sum of the smaller counts, that of a set and
-   all below a tree node at most the sum with its upper corner, and sizes must fit. Reached nodes
+   all below a tree node at most the sum with its upper corner, and sizes must fit. Large sets fill
+   all groups about alike, so they have a second point of as many groups as they are large, by which
+   what the tree leaves is compared; else all long texts of a table would be one family. Reached nodes
    are searched from in turn, so a block gives a spanning set of its candidate pairs, and the
    components of these are families.
 3. Links. Each family is searched in the same way, now with an R-tree over finer counts, and what it
@@ -51,6 +53,8 @@ SKETCH_BITS = 18
 SKETCH_SLICES = 16
 #: Groups of the points, and of those in a family; entries of a tree node.
 GROUPS, FINE_GROUPS = 128, 1024
+#: Shingles of a group, on average and at most, beyond which a set has a finer point; the most groups of one.
+GROUP_SHINGLES, MOST_GROUPS = 8, 1 << 14
 LEAF = 16
 #: Nodes of a cell of a block and of a family, and shingles of a cell of a family.
 CELL, FAMILY_CELL, FAMILY_SHINGLES = 4096, 1024, 1 << 21
@@ -143,7 +147,7 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
     waiting, held = [], 0
     for batch in batches:
-        texts, sizes, names, checks, points = batch.column("text").cast(pa.binary()), [], [], [], []
+        texts, sizes, names, checks, points, fine = batch.column("text").cast(pa.binary()), [], [], [], [], []
         for i in range(batch.num_rows):
             words = make.words(texts[i].as_py())
             shingles = make.set_of(words)
@@ -152,17 +156,19 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names.append(name)
             checks.append(check)
             points.append(group_counts(shingles).tobytes() if words else None)
+            groups = fine_groups(len(shingles))
+            fine.append(group_counts(shingles, groups).tobytes() if groups else None)
             waiting.append(shingles)
             held += len(shingles)
             if held > 1 << 20:
                 sketch += cell_counts(waiting)
                 waiting, held = [], 0
-        yield _pass_rows(batch.column("row"), batch.column("doc_id"), sizes, names, checks, points, None, None)
+        yield _pass_rows(batch.column("row"), batch.column("doc_id"), sizes, names, checks, points, fine, None, None)
     sketch += cell_counts(waiting)
     if sketch.any():
         parts = [p.tobytes() for p in np.split(sketch, SKETCH_SLICES)]
         none = [None] * len(parts)
-        yield _pass_rows(none, none, none, none, none, none, list(range(len(parts))), parts)
+        yield _pass_rows(none, none, none, none, none, none, none, list(range(len(parts))), parts)
 
 
 def cell_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -173,7 +179,7 @@ def cell_counts(sets: list[np.ndarray]) -> np.ndarray:
     return np.bincount(cells.astype(np.int64), minlength=1 << SKETCH_BITS)
 
 
-def _pass_rows(row, doc_id, sizes, names, checks, points, slices, parts) -> pa.RecordBatch:
+def _pass_rows(row, doc_id, sizes, names, checks, points, fine, slices, parts) -> pa.RecordBatch:
     n = len(sizes)
     columns = [
         pa.array(row, pa.int64()) if isinstance(row, list) else row,
@@ -182,15 +188,16 @@ def _pass_rows(row, doc_id, sizes, names, checks, points, slices, parts) -> pa.R
         pa.array(names, pa.int64()),
         pa.array(checks, pa.int64()),
         pa.array(points, pa.binary()),
+        pa.array(fine, pa.binary()),
         pa.array(slices or [None] * n, pa.int32()),
         pa.array(parts or [None] * n, pa.binary()),
     ]
-    names = ["row", "doc_id", "n_shingles", "name", "check", "point", "slice", "part"]
+    names = ["row", "doc_id", "n_shingles", "name", "check", "point", "fine", "slice", "part"]
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 PASS_ROWS = (
-    "row long, doc_id long, n_shingles long, name long, check long, point binary, slice int, part binary"
+    "row long, doc_id long, n_shingles long, name long, check long, point binary, fine binary, slice int, part binary"
 )
 
 
@@ -337,6 +344,13 @@ def group_counts(shingles: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     return np.minimum(np.bincount(at.astype(np.int64), minlength=groups), 255).astype(np.uint8)
 
 
+def fine_groups(n: int) -> int:
+    """Groups of the finer point of a set of n, or 0 where the plain one tells sets of n apart."""
+    if n <= GROUP_SHINGLES * GROUPS:
+        return 0
+    return min(MOST_GROUPS, 1 << ((n - 1) // GROUP_SHINGLES).bit_length())
+
+
 class RTree:
     """Bulk-loaded tree over points; nodes keep the upper corner and the range of sizes.
 
@@ -397,9 +411,60 @@ class RTree:
 
 
 def may_link(table: pa.Table):
-    """Pairs of a block that an R-tree over their points does not exclude."""
+    """Pairs of a block that an R-tree over their points and, for large sets, finer points do not exclude."""
     points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
-    return RTree(points, table.column("n").to_numpy()).near
+    sizes = table.column("n").to_numpy()
+    tree = RTree(points, sizes)
+    if table.num_rows - table.column("fine").null_count < 2:
+        return tree.near
+    fine = FinePoints(table.column("fine").to_pylist(), sizes)
+
+    def near(i: int, others: np.ndarray) -> np.ndarray:
+        ok = tree.near(i, others)
+        at = np.flatnonzero(ok)
+        ok[at] = fine.allowed(i, others[at])
+        return ok
+
+    return near
+
+
+class FinePoints:
+    """Points of as many groups as their sets are large, one table for each number of groups.
+
+    That is a power of two, so a point folds to fewer groups by adding. The bound is that of the tree.
+    """
+
+    def __init__(self, points: list[bytes | None], sizes: np.ndarray):
+        self.sizes, self.groups = sizes.astype(np.int64), np.array([len(p) if p else 0 for p in points])
+        self.place, self.tables = np.zeros(len(points), np.int64), {}
+        self.excess = np.zeros(len(points), np.int64)
+        for groups in np.unique(self.groups[self.groups > 0]).tolist():
+            rows = np.flatnonzero(self.groups == groups)
+            table = np.frombuffer(b"".join([points[r] for r in rows]), np.uint8).reshape(-1, groups)
+            self.place[rows], self.tables[groups] = np.arange(len(rows)), table
+            self.excess[rows] = self.sizes[rows] - table.sum(axis=1, dtype=np.int64)
+
+    def allowed(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Which of ``others`` may link with entry i; those without a finer point may."""
+        ok, own = np.ones(len(others), bool), int(self.groups[i])
+        if not own:
+            return ok
+        for groups, table in self.tables.items():
+            low, at = min(own, groups), np.flatnonzero(self.groups[others] == groups)
+            point = self.tables[own][self.place[i]]
+            if own > low:
+                point = point.reshape(-1, low).sum(axis=0)
+            step = max(1, (1 << 20) // groups)
+            for begin in range(0, len(at), step):
+                part = at[begin : begin + step]
+                rows = others[part]
+                held = table[self.place[rows]]
+                if groups > low:
+                    held = held.reshape(len(rows), -1, low).sum(axis=1)
+                shared = np.minimum(held, point).sum(axis=1, dtype=np.int64)
+                shared += np.minimum(self.excess[rows], self.excess[i])
+                ok[part] = shared >= needed(self.sizes[i], self.sizes[rows])
+        return ok
 
 
 def linked(table: pa.Table):
@@ -441,13 +506,13 @@ def near_duplicates(docs: DataFrame, cell: int = CELL, family_cell: int = FAMILY
     """
     docs = docs.select("row", "doc_id", "text")
     first = staged(docs.mapInArrow(_first_pass, PASS_ROWS), "shingle-sizes")
-    rows = first.where("slice IS NULL").select("row", "doc_id", "n_shingles", "name", "check", "point")
+    rows = first.where("slice IS NULL").select("row", "doc_id", "n_shingles", "name", "check", "point", "fine")
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     # Both halves of the name tell word sequences apart; a node's number is the row of its lead.
     nodes = staged(
         rows.where("name IS NOT NULL")
         .groupBy("name", "check")
-        .agg(F.min(lead).alias("lead"), F.min("point").alias("point"), F.min("n_shingles").alias("n"))
+        .agg(F.min(lead).alias("lead"), F.min("point").alias("point"), F.min("fine").alias("fine"), F.min("n_shingles").alias("n"))
         .select(F.col("lead.row").alias("node"), "*"),
         "nodes",
     )
@@ -472,7 +537,7 @@ def near_duplicates(docs: DataFrame, cell: int = CELL, family_cell: int = FAMILY
 def _labels(docs: DataFrame, first: DataFrame, nodes: DataFrame, cell: int, family_cell: int) -> DataFrame:
     """The component (node, label) of each node that links to another."""
     blocks = staged(blocks_of(docs, nodes, sketch_of(first)), "blocks")
-    families = staged(components(links_within(blocks, nodes.select("node", "point", "n"), may_link, cell, "block")), "families")
+    families = staged(components(links_within(blocks, nodes.select("node", "point", "fine", "n"), may_link, cell, "block")), "families")
     bodies = docs.select(F.col("row").alias("node"), F.col("text").cast("binary").alias("body"))
     sizes = nodes.select("node", F.col("n").alias("weight"))
     members = families.select(F.col("label").alias("group"), "node").join(sizes, "node")

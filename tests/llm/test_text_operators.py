@@ -339,6 +339,45 @@ def test_numbers_of_words():
     assert len(make.set_of(many)) == 1000
 
 
+def test_large_sets_without_a_link_are_no_candidates():
+    """Their plain points are alike; the finer ones drop them and keep every pair that links."""
+    rng = np.random.default_rng(3)
+    sizes = [*[1500, 1900, 2100] * 4, *[9000, 12000] * 6, 300, 900]
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in sizes]
+    for n in (2, 4, 12, 13):  # near copies, some with another number of groups
+        sets.append(np.unique(np.concatenate([sets[n][: int(len(sets[n]) * 0.93)], sets[n] + np.uint64(1)][: 1 + n % 2])))
+    sets += [sets[2][: int(len(sets[2]) * 0.96)], sets[13][: int(len(sets[13]) * 0.81)]]
+    fine = [J.group_counts(s, J.fine_groups(len(s))).tobytes() if J.fine_groups(len(s)) else None for s in sets]
+    points = [J.group_counts(s).tobytes() for s in sets]
+    table = pa.table({"point": pa.array(points, pa.binary()), "fine": pa.array(fine, pa.binary()), "n": [len(s) for s in sets]})
+    near, everyone, tree = J.may_link(table), np.arange(len(sets)), 0
+    plain = J.RTree(np.stack([np.frombuffer(p, np.uint8) for p in points]), np.array([len(s) for s in sets])).near
+    for i, a in enumerate(sets):
+        both = np.array([len(np.intersect1d(a, b)) for b in sets])
+        link = 100 * both >= 80 * (len(a) + np.array(list(map(len, sets))) - both)
+        found = near(i, everyone)
+        assert not (link & ~found).any()
+        assert found.sum() <= link.sum() + 1
+        tree += plain(i, everyone).sum() - link.sum()
+    assert tree > 60  # so many pairs more without the finer points
+    assert {J.fine_groups(n) for n in (1, 1024)} == {0} and J.fine_groups(1025) == 256 and J.fine_groups(10**9) == 1 << 14
+
+
+def test_clipped_fine_points_lose_no_pair():
+    """Counts end at 255; what is beyond still counts as shared."""
+    rng = np.random.default_rng(5)
+    counts = rng.poisson(250, (60, 256))
+    counts[30:] = np.maximum(0, counts[:30] + rng.integers(-3, 4, (30, 256)))
+    points = [np.minimum(c if i % 3 else np.concatenate([c - c // 3, c // 3]), 255).astype(np.uint8).tobytes() for i, c in enumerate(counts)]
+    sizes = counts.sum(axis=1)
+    fine = J.FinePoints(points, sizes)
+    for i in range(60):
+        most = np.minimum(counts, counts[i]).sum(axis=1)
+        found = fine.allowed(i, np.arange(60))
+        assert not ((most >= J.needed(sizes, sizes[i])) & ~found).any()
+        assert found[i]
+
+
 def test_blocks_with_the_same_nodes_count_once(spark):
     rows = [(0, "a b c d e f g h i j k l m n o p q r s t"), (1, "a b c d e f g h i j k l m n o p q r s u")]
     df = spark.createDataFrame(rows * 3, "doc_id long, text string").withColumn("row", F.monotonically_increasing_id())
