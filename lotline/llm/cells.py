@@ -151,7 +151,8 @@ def links_within(
     cut = dealt.where("parts > 1")
     if cut.isEmpty():
         return found
-    placed = cut.join(components(found), "node", "left").select(
+    labels = components(found)
+    placed = cut.join(labels, "node", "left").select(
         "group", "node", "parts", "part", F.coalesce("label", "node").alias("label")
     )
     several = placed.groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
@@ -165,4 +166,6 @@ def links_within(
             "node", "label", "part", *columns,
         )
     )
-    return staged(found.union(_searched(across, compare)), f"{label}-links")
+    # What is one component already goes on as links to its label, so that it is not gathered again.
+    stars = labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return staged(stars.union(_searched(across, compare)), f"{label}-links")

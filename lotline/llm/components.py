@@ -30,6 +30,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return hung.union(low.select("u", F.col("m").alias("v")))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Is each ``u`` below one ``v`` that is below nothing? Then the ``v`` are the lowest of their components."""
+    ends = edges.selectExpr("u AS x", "1 AS below", "0 AS above").union(edges.selectExpr("v", "0", "1"))
+    places = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return not places.agg(F.count_if(F.col("below") + F.col("above") > 1)).first()[0]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b) of long numbers to (node, label), label the lowest node of its component.
 
@@ -39,15 +46,8 @@ def components(edges: DataFrame) -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "edges",
     )
-    seen = None
-    while True:
+    while not _settled(now):
         now = staged(_small_star(_large_star(now)).where("u <> v").distinct(), "edges")
-        state = now.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if state == seen:
-            break
-        seen = state
     labels = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
     roots = labels.select(F.col("label").alias("node"), "label").distinct()
     return labels.union(roots)

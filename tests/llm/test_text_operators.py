@@ -1,6 +1,7 @@
 """Exact copies, benchmark passages, near copies and the pipeline against brute force."""
 
 import random
+import sys
 import tracemalloc
 from collections import Counter, defaultdict
 
@@ -426,6 +427,17 @@ def test_components_of_a_long_chain(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+@pytest.mark.parametrize("edges, most", [([(5, 1), (9, 1), (7, 2)], 1), ([(1, 5), (5, 9), (2, 7)], 2)])
+def test_components_stop_when_all_are_stars(spark, monkeypatch, edges, most):
+    """No step more to see that nothing changes."""
+    written = []
+    module = sys.modules["lotline.llm.components"]
+    monkeypatch.setattr(module, "staged", lambda df, label: written.append(label) or staged(df, label))
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {(r.node, r.label) for r in found} == {(1, 1), (5, 1), (9, 1), (2, 2), (7, 2)}
+    assert len(written) <= most
+
+
 # --- pipeline ------------------------------------------------------------------------------------
 
 
