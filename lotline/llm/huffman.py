@@ -1,6 +1,6 @@
 """Token ids in files of canonical length-limited Huffman codes.
 
-Steps: documents become token ids; ids are counted over all documents; package-merge makes code
+Steps: documents become token ids, which each task counts as it makes them; the counts are added; package-merge makes code
 lengths of at most ``MAX_BITS`` bits from the counts; the documents are range-partitioned by doc_id
 and each task writes its part in order. Files list the bit offset of every block of ``BLOCK`` ids,
 so blocks decode independently: the reader steps through all blocks of a file together, each step
@@ -36,6 +36,8 @@ MAX_BITS = 20
 BLOCK = 1024
 #: Ids after which a file is full.
 FILE_IDS = 8_000_000
+#: Documents whose ids are counted together.
+COUNTED_ROWS = 1000
 #: Ids that are turned into bits together; whole blocks.
 CHUNK_IDS = 256 * BLOCK
 
@@ -140,18 +142,30 @@ def byte_encoder(path: str) -> ByteEncoder:
     return known.get(path) or known.setdefault(path, ByteEncoder(path))
 
 
-def _tokenize(path: str, end_id: int):
+def _tokenize(path: str, end_id: int, vocabulary: int | None):
+    names = ["doc_id", "n_tokens", "ids"] + ["counts"] * (vocabulary is not None)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = byte_encoder(path)
         end = np.array([end_id], encoder.dtype).tobytes()
+        total = np.zeros(vocabulary or 0, np.int64)
         for batch in batches:
             texts = batch.column("text")
             ids = [encoder.encode(texts[i].as_py() or "") + end for i in range(batch.num_rows)]
             sizes = [len(x) // encoder.dtype.itemsize for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
-                names=["doc_id", "n_tokens", "ids"],
-            )
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())]
+            if vocabulary is not None:
+                # Several documents at once: the tally has an entry for every id there is.
+                for begin in range(0, len(ids), COUNTED_ROWS):
+                    part = np.frombuffer(b"".join(ids[begin : begin + COUNTED_ROWS]), encoder.dtype)
+                    total += np.bincount(part, minlength=vocabulary)
+                columns.append(pa.nulls(batch.num_rows, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        seen = np.flatnonzero(total)
+        if len(seen):
+            packed = np.stack([seen, total[seen]]).tobytes()
+            none = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([packed], pa.binary())], names=names)
 
     return run
 
@@ -159,7 +173,14 @@ def _tokenize(path: str, end_id: int):
 def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """``docs`` (doc_id, text) as little-endian ids with the end id; null texts are empty."""
     return docs.select("doc_id", "text").mapInArrow(
-        _tokenize(path, end_id), "doc_id long, n_tokens long, ids binary"
+        _tokenize(path, end_id, None), "doc_id long, n_tokens long, ids binary"
+    )
+
+
+def tokenized_and_counted(docs: DataFrame, path: str, vocabulary: int, end_id: int = END_ID) -> DataFrame:
+    """The rows of ``tokenized``, and one row of each task with ``counts`` alone: how often it has each id."""
+    return docs.select("doc_id", "text").mapInArrow(
+        _tokenize(path, end_id, vocabulary), "doc_id long, n_tokens long, ids binary, counts binary"
     )
 
 
@@ -168,18 +189,28 @@ def _width(vocabulary: int) -> np.dtype:
 
 
 def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
-    """How often each id occurs; each task sends one row per id that it has."""
+    """How often each id occurs, from the ``counts`` of all tasks if there are any, else from the ids.
+
+    Each task here sends one row per id that it has.
+    """
+    counted = "counts" in tokens.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
+            if counted:
+                for packed in batch.column(0):
+                    seen, times = np.frombuffer(packed.as_py(), np.int64).reshape(2, -1)
+                    total[seen] += times
+                continue
             # All documents of a batch at once: the tally has an entry for every id there is.
             for ids in np.array_split(np.frombuffer(b"".join(batch.column(0).to_pylist()), _width(vocabulary)), 8):
                 total += np.bincount(ids, minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
-    sums = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    source = tokens.where("counts IS NOT NULL").select("counts") if counted else tokens.select("ids")
+    sums = source.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = np.zeros(vocabulary, np.int64)
     for row in sums.collect():  # at most one row per vocabulary entry
         counts[row["id"]] = row["n"]
@@ -334,9 +365,10 @@ def round_trip(docs: DataFrame, path: str, vocabulary: int, end_id: int = END_ID
     one file; other columns are left out, whatever their names; an empty table writes no file and
     gives no rows.
     """
-    tokens = staged(
-        tokenized(docs, path, end_id).withColumn("row_id", F.monotonically_increasing_id()), "token-ids"
+    both = staged(
+        tokenized_and_counted(docs, path, vocabulary, end_id).withColumn("row_id", F.monotonically_increasing_id()),
+        "token-ids",
     )
-    lengths = code_lengths(id_counts(tokens, vocabulary))
+    lengths = code_lengths(id_counts(both, vocabulary))
     folder = files.new_folder(docs.sparkSession, "huffman")
-    return read_ids(write_ids(tokens, folder, lengths))
+    return read_ids(write_ids(both.where("counts IS NULL").drop("counts"), folder, lengths))

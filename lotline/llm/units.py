@@ -22,6 +22,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Entries of a dictionary of pieces.
 MEMO_ENTRIES = 800_000
+#: Of that of words after a blank, which most of the time goes into.
+WORD_ENTRIES = 1_200_000
 
 # Unicode White_Space, and the pattern of byte-level pre-tokens.
 WHITE = "".join(
@@ -138,7 +140,7 @@ class ByteEncoder(Encoder):
     def __init__(self, path: str):
         super().__init__(path)
         self.plain = Memo(self._run, MEMO_ENTRIES // 4)
-        self.after_blank = Memo(self._after_blank)
+        self.after_blank = Memo(self._after_blank, WORD_ENTRIES)
 
     def _run(self, run: str) -> bytes:
         if word := plain_word(run):

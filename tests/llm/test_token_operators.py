@@ -103,6 +103,18 @@ def test_huffman_round_trip(docs, no_docs):
     assert H.round_trip(no_docs, vocabulary(BYTE_BPE), BYTE_BPE_IDS).collect() == []
 
 
+def test_ids_are_counted_as_they_are_made(docs, no_docs, monkeypatch):
+    """The tasks' own counts are those of a second look at all ids, however many documents count together."""
+    path = vocabulary(BYTE_BPE)
+    wanted = H.id_counts(H.tokenized(docs, path), BYTE_BPE_IDS)
+    for together in (3, 1000):
+        monkeypatch.setattr(H, "COUNTED_ROWS", together)
+        both = H.tokenized_and_counted(docs, path, BYTE_BPE_IDS)
+        assert both.where("counts IS NULL").count() == docs.count()
+        assert (H.id_counts(both, BYTE_BPE_IDS) == wanted).all()
+    assert not H.id_counts(H.tokenized_and_counted(no_docs, path, BYTE_BPE_IDS), BYTE_BPE_IDS).any()
+
+
 def test_files_roll_over_and_broken_ones_fail(spark, docs, tmp_path):
     tokens = H.tokenized(docs.where("doc_id IS NOT NULL"), vocabulary(BYTE_BPE)).coalesce(1)
     lengths = H.code_lengths(H.id_counts(tokens, BYTE_BPE_IDS))
