@@ -144,3 +144,44 @@ def test_distances_do_not_depend_on_how_edges_are_dealt(spark, monkeypatch):
     for name in ("COMPARED", "TAKEN", "EDGE_PAIRS"):
         monkeypatch.setattr(B, name, 3)
     assert found(pairs_within(frame(spark, parcels), 400.0)) == expected
+
+
+def test_bounds_of_a_total_are_asked_before_the_distance(spark, monkeypatch):
+    """Nulls are skipped, NaN lies in no bounds, and pairs out of them get no distance."""
+    parcels = mixed_parcels(60, 2, seed=9)
+    areas = {p[0]: [None, float("nan"), 2000.0, 3000.0, 4000.0, 9000.0][k % 6] for k, p in enumerate(parcels)}
+    df = spark.createDataFrame(
+        [(*p, areas[p[0]]) for p in parcels], f"parcel_id string, owner_normalized string, geom {GEOM}, area double"
+    )
+
+    def kept(a, b):
+        known = [areas[i] for i in (a, b) if areas[i] is not None]
+        return bool(known) and 3000 <= sum(known) <= 7000
+
+    every = found(pairs_within(df, 500.0))
+    expected = {pair: d for pair, d in every.items() if kept(*pair)}
+    assert 0 < len(expected) < len(every)
+    for block_edges in (30, 8000):
+        limited = pairs_within(df, 500.0, block_edges=block_edges, total=(F.col("area"), 3000.0, 7000.0))
+        assert found(limited) == expected
+
+
+def test_shortlist_and_types_limit_the_search(spark):
+    rng = np.random.default_rng(12)
+    parcels = [(str(i), "A", geom([box(*(50.0 * rng.integers(0, 9, 2)), 50, 50)]), float(900 * (i % 9))) for i in range(60)]
+    parcels = [(*p[:3], None if i % 7 == 0 else p[3], f"{i}-{i + 2}" if i % 5 == 0 else str(i)) for i, p in enumerate(parcels)]
+    res = spark.createDataFrame(
+        parcels,
+        f"parcel_id string, owner_normalized string, geom {GEOM}, total_livable_area double, address_number string",
+    ).withColumns(
+        {name: F.lit(None).cast("double") for name in ("market_value", "total_area")}
+        | {name: F.lit("x") for name in ("street_address", "zoning", "category_code_description", "building_code_description_new")}
+    )
+    every = C.candidate_rows(res, "now")
+    wanted = {tuple(r) for r in C.shortlist(every).drop("members").collect()}
+    assert wanted and {tuple(r) for r in C.shortlisted_rows(res, "now").drop("members").collect()} == wanted
+    kinds = [C.config.HYPHEN, C.config.TOUCHING, C.config.CLOSE]
+    for types in ([kinds[0]], [kinds[1]], [kinds[2]], kinds[:2]):
+        wanted = {tuple(r) for r in every.drop("members").where(F.col("candidate_type").isin(types)).collect()}
+        assert wanted
+        assert {tuple(r) for r in C.candidate_rows(res, "now", types=types).drop("members").collect()} == wanted
