@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lotline.operators.within import pairs_within
 from lotline.plans import candidates as C
 
-from shapes import GEOM, box, distance, geom, star
+from shapes import GEOM, box, distance, geom, segments, star
 
 
 def frame(spark, parcels):
@@ -185,3 +185,47 @@ def test_shortlist_and_types_limit_the_search(spark):
         wanted = {tuple(r) for r in every.drop("members").where(F.col("candidate_type").isin(types)).collect()}
         assert wanted
         assert {tuple(r) for r in C.candidate_rows(res, "now", types=types).drop("members").collect()} == wanted
+
+
+def _side(shapes):
+    """Shapes as a block holds them."""
+    import pyarrow as pa
+
+    from lotline.operators.block_distance import _Side
+
+    rows = []
+    for g in shapes:
+        edges = [dict(zip(("x1", "y1", "x2", "y2"), s)) for s in segments(g)]
+        xs, ys = zip(*[p for part in g[1] for ring in part for p in ring])
+        rows.append(
+            {"id": "x", "own_level": 0, "x_low": 0, "y_low": 0, "xmin": min(xs), "ymin": min(ys), "xmax": max(xs),
+             "ymax": max(ys), "edges": edges, "anchors": [dict(zip("xy", part[0][0])) for part in g[1]]}
+        )
+    return _Side(pa.array(rows))
+
+
+def test_few_edges_and_shared_vertices_need_no_lists_of_edges(monkeypatch):
+    """Shapes of few edges are compared as tables; those that share a vertex need no edges at all."""
+    from lotline.operators import block_distance as B
+
+    def refused(*ends):
+        raise AssertionError("pairs of edges are listed")
+
+    rng = np.random.default_rng(21)
+    one = [geom([star(rng, 40 * k, 0, 15, 3 + k % 6)]) for k in range(12)]
+    two = [geom([star(rng, 40 * k + 5, 35 + 9 * k, 15, 3 + k % 5)]) for k in range(12)]
+    many = [(x / 10, 0.0) for x in range(200)] + [(20.0, 20.0), (0.0, 20.0)]
+    one.append(geom([many + many[:1]]))
+    two.append(geom([[(x, -y) for x, y in many + many[:1]]]))
+    i, j = (k.ravel() for k in np.meshgrid(np.arange(12), np.arange(12), indexing="ij"))
+    i, j = np.append(i, 12), np.append(j, 12)
+    a, b = _side(one), _side(two)
+    apart = (a.xmin[i] > b.xmax[j]) | (b.xmin[j] > a.xmax[i]) | (a.ymin[i] > b.ymax[j]) | (b.ymin[j] > a.ymax[i])
+    i, j = i[apart | (i == 12)], j[apart | (i == 12)]
+    assert len(i) > 100
+    monkeypatch.setattr(B, "_edge_gap2", refused)
+    for table in (16_384, 50):
+        monkeypatch.setattr(B, "TABLE", table, raising=False)
+        far = B._distances(a, i, b, j, 1e6)
+        assert list(far) == [pytest.approx(distance(one[x], two[y]), abs=1e-9) for x, y in zip(i, j)]
+        assert far[-1] == 0
