@@ -229,3 +229,28 @@ def test_few_edges_and_shared_vertices_need_no_lists_of_edges(monkeypatch):
         far = B._distances(a, i, b, j, 1e6)
         assert list(far) == [pytest.approx(distance(one[x], two[y]), abs=1e-9) for x, y in zip(i, j)]
         assert far[-1] == 0
+
+
+def test_pairs_carry_only_the_member_fields_that_are_shown(spark, monkeypatch):
+    """Id and owner are the pair's own; with the fields of a membership, the address alone is carried."""
+    rng = np.random.default_rng(15)
+    parcels = [(str(i), f"O{i % 2}", geom([star(rng, *rng.uniform(0, 900, 2), 40, 5)]), f"{i % 7} ST") for i in range(40)]
+    res = spark.createDataFrame(
+        parcels, f"parcel_id string, owner_normalized string, geom {GEOM}, street_address string"
+    ).withColumns(
+        {name: F.lit(1.0) for name in ("total_livable_area", "market_value", "total_area")}
+        | {name: F.lit("x") for name in ("zoning", "category_code_description", "building_code_description_new")}
+        | {"address_number": F.expr("CASE WHEN parcel_id % 5 = 0 THEN '1-3' ELSE '1' END")}
+    )
+    carried = []
+
+    def search(df, *args, **kwargs):
+        carried.append(df.select(kwargs["carry"].alias("c")).schema["c"].dataType.fieldNames())
+        return pairs_within(df, *args, **kwargs)
+
+    monkeypatch.setattr(C, "pairs_within", search)
+    full, slim = C.candidate_rows(res, "now"), C.candidate_rows(res, "now", fields=C.MEMBERSHIP_FIELDS)
+    assert "parcel_id" not in carried[0] and carried[1] == ["street_address"]
+    wanted = {tuple(r) for r in full.drop("members").collect()}
+    assert len(wanted) > 100 and {tuple(r) for r in slim.drop("members").collect()} == wanted
+    assert sorted(map(tuple, C.membership(slim).collect())) == sorted(map(tuple, C.membership(full).collect()))
