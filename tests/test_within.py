@@ -254,3 +254,17 @@ def test_pairs_carry_only_the_member_fields_that_are_shown(spark, monkeypatch):
     wanted = {tuple(r) for r in full.drop("members").collect()}
     assert len(wanted) > 100 and {tuple(r) for r in slim.drop("members").collect()} == wanted
     assert sorted(map(tuple, C.membership(slim).collect())) == sorted(map(tuple, C.membership(full).collect()))
+
+
+def test_a_crowded_cell_sends_its_shapes_to_few_blocks(spark):
+    """However few edges a block is asked to have, the copies of a shape do not grow with those beside it."""
+    from lotline.functions import geometry as G
+    from lotline.operators.within import CELL_BLOCKS, near_blocks
+
+    n = 64
+    parcels = [(f"{i:02}", "ALL", geom([box(5, 5, 10, 10)])) for i in range(n)]
+    df = frame(spark, parcels).withColumnsRenamed({"parcel_id": "id", "owner_normalized": "key"})
+    blocks = near_blocks(G.with_shape(df, "geom").drop("geom"), 500.0, "key", block_edges=4)
+    copies = blocks.agg(F.sum(F.size("near") + F.size("home"))).first()[0]
+    assert copies <= n * (CELL_BLOCKS + 1)
+    assert len(found(pairs_within(frame(spark, parcels), 500.0, block_edges=4))) == n * (n - 1) // 2
