@@ -268,3 +268,20 @@ def test_a_crowded_cell_sends_its_shapes_to_few_blocks(spark):
     copies = blocks.agg(F.sum(F.size("near") + F.size("home"))).first()[0]
     assert copies <= n * (CELL_BLOCKS + 1)
     assert len(found(pairs_within(frame(spark, parcels), 500.0, block_edges=4))) == n * (n - 1) // 2
+
+
+def test_generated_methods_over_pairs_are_small_enough_to_be_compiled(spark):
+    """The JVM only interprets methods of more than 8,000 bytes, and each pair passes through these."""
+    import re
+
+    import __spark_entry__ as E
+
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for query in (E.q_features, E.q_shortlist, E.q_map_extent):
+            plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+            assert sizes and max(sizes) <= 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
